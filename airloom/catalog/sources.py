@@ -34,6 +34,7 @@ from airloom.sources.grids import (
     with_coordinates,
 )
 from airloom.sources.sinks import (
+    CSV_TIMESTAMP,
     append_facts,
     export_csv,
     replace_facts,
@@ -218,7 +219,8 @@ def q_export_csv(spark, sf):
     path = fresh_path(spark, "export")
     facts = observations(spark, sf)
     export_csv(facts, path)
-    return spark.read.schema(facts.schema).option("header", True).csv(path)
+    reader = spark.read.schema(facts.schema).option("header", True)
+    return reader.option("timestampNTZFormat", CSV_TIMESTAMP).csv(path)
 
 
 @query("station_files", "select event_type as station, ts as date, value from events")

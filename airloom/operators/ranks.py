@@ -130,7 +130,8 @@ def percentiles(
     group: Sequence[str] = (),
     max_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
-    """Exact percentiles with linear interpolation, one column ``p<percent>`` each."""
+    """Exact percentiles with linear interpolation, one column ``p<percent>`` each,
+    and the number of values ``n``."""
     group = list(group)
     ranked = value_ranks(df, value, group, max_rows)
     at = {}
@@ -147,4 +148,4 @@ def percentiles(
         place = (F.col("n") - 1) * F.lit(float(p))
         low, high = F.col(f"`__lo{p}`"), F.col(f"`__hi{p}`")
         out.append((low + (high - low) * (place - F.floor(place))).alias(f"p{round(p * 100)}"))
-    return found.select(*group, *out)
+    return found.select(*group, "n", *out)

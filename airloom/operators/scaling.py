@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# Share of the summed squares that subtraction may leave by rounding.
+NOISE = 1e-13
+
 Scale = dict[str, tuple[float, float]]
 
 
@@ -63,8 +66,8 @@ def fold_scales(df: DataFrame, fold: Sequence[str], columns: Sequence[str]) -> D
                 F.struct(
                     F.lit(c).alias("column"),
                     F.col(f"n{i}").alias("n"),
-                    F.col(f"m{i}").alias("m"),
-                    F.col(f"q{i}").alias("q"),
+                    F.coalesce(f"m{i}", F.lit(0.0)).alias("m"),
+                    F.coalesce(f"q{i}", F.lit(0.0)).alias("q"),
                 )
                 for i, c in enumerate(columns)
             ]
@@ -72,28 +75,25 @@ def fold_scales(df: DataFrame, fold: Sequence[str], columns: Sequence[str]) -> D
     )
     parts = parts.select(*fold, series)
     # Merging two sets adds n1*n2/(n1+n2)*(m1-m2)**2 to their summed squares; over all folds
-    # that is the spread of the fold means about the common mean.
-    centre = parts.groupBy("column").agg(
-        F.sum("n").alias("N"), (F.sum(F.col("n") * F.col("m")) / F.sum("n")).alias("M")
-    )
-    spread = (
-        parts.join(F.broadcast(centre), "column")
-        .groupBy("column")
-        .agg(
-            F.max("N").alias("N"),
-            F.max("M").alias("M"),
-            F.sum(F.col("q") + F.col("n") * (F.col("m") - F.col("M")) ** 2).alias("Q"),
-        )
+    # that is the spread of the fold means about the common mean. One row per fold here.
+    folds = Window.partitionBy("column")
+    weighted = F.sum(F.col("n") * F.col("m")).over(folds)
+    out = parts.withColumn("all_n", F.sum("n").over(folds)).withColumn(
+        "all_m", F.try_divide(weighted, F.col("all_n"))
     )
-    rest = F.col("N") - F.col("n")
-    out = parts.join(F.broadcast(spread), "column").where(rest > 0)
-    mean = (F.col("N") * F.col("M") - F.col("n") * F.col("m")) / rest
-    square = F.col("Q") - F.col("q") - F.col("n") * rest / F.col("N") * (F.col("m") - mean) ** 2
-    deviation = F.sqrt(F.greatest(square / rest, F.lit(0.0)))
+    spread = F.col("q") + F.col("n") * (F.col("m") - F.col("all_m")) ** 2
+    out = out.withColumn("all_q", F.sum(spread).over(folds))
+    rest = F.col("all_n") - F.col("n")
+    out = out.where(rest > 0)
+    mean = (F.col("all_n") * F.col("all_m") - F.col("n") * F.col("m")) / rest
+    square = F.col("all_q") - F.col("q") - F.col("n") * rest / F.col("all_n") * (F.col("m") - mean) ** 2
+    # What rounding alone leaves of a constant column counts as no spread.
+    noise = F.col("all_q") * NOISE + rest * (mean * NOISE) ** 2
+    deviation = F.when(square > noise, F.sqrt(square / rest)).otherwise(F.lit(1.0))
     return out.select(
         *fold,
         "column",
         rest.alias("train_n"),
         mean.alias("train_mean"),
-        F.when(deviation > 0, deviation).otherwise(F.lit(1.0)).alias("train_std"),
+        deviation.alias("train_std"),
     )

@@ -6,6 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
+from airloom.functions.dates import STRICT_FORMAT
+
+CSV_TIMESTAMP = STRICT_FORMAT.replace(" ", "'T'")
+
 
 def _balanced(df: DataFrame, column: str) -> DataFrame:
     """Rows of a partition value together, large values split into several even files."""
@@ -23,8 +27,9 @@ def append_facts(df: DataFrame, path: str, station: str = "station") -> None:
 
 
 def export_csv(df: DataFrame, path: str) -> None:
-    """Whole table with a header line per file."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """Whole table with a header line per file, timestamps to the microsecond."""
+    writer = df.write.mode("overwrite").option("header", True)
+    writer.option("timestampNTZFormat", CSV_TIMESTAMP).csv(path)
 
 
 def write_per_station(df: DataFrame, path: str, station: str = "station") -> None:
