@@ -15,7 +15,14 @@ from airloom.operators.metrics import (
     season_scores,
 )
 from airloom.operators.scaling import apply_scale, fit_scale, fold_scales, unscaled
-from airloom.operators.splits import hold_out, k_folds, random_split, rows_not_in, season_split
+from airloom.operators.splits import (
+    hold_out,
+    k_folds,
+    random_split,
+    rows_not_in,
+    season_split,
+    text_hash,
+)
 from airloom.plans.evaluation import (
     Protocol,
     base_model,
@@ -37,7 +44,7 @@ def _hash_sql(key: str) -> str:
                <= ceil(count(*) over () * 0.2) as is_test from events""",
 )
 def q_random_split(spark, sf):
-    return random_split(observations(spark, sf), ["event_id"]).select("event_id", "is_test")
+    return random_split(observations(spark, sf), ["event_id"], order=text_hash(["event_id"])).select("event_id", "is_test")
 
 
 _SEASON_SQL = """case when month(o_orderdate) in (12, 1, 2) then 'Winter'
@@ -53,7 +60,8 @@ _SEASON_SQL = """case when month(o_orderdate) in (12, 1, 2) then 'Winter'
                <= round_even(count(*) over (partition by "Season") * 0.2::double, 0) as is_test from s""",
 )
 def q_season_split(spark, sf):
-    split = season_split(table(spark, sf, "orders"), ["o_orderkey"], "o_orderdate")
+    key = ["o_orderkey"]
+    split = season_split(table(spark, sf, "orders"), key, "o_orderdate", order=text_hash(key))
     return split.select("o_orderkey", "Season", "is_test")
 
 
@@ -67,7 +75,8 @@ def q_season_split(spark, sf):
 )
 def q_season_train_rows(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
-    test = season_split(orders, ["o_orderkey"], "o_orderdate").where("is_test")
+    split = season_split(orders, ["o_orderkey"], "o_orderdate", order=text_hash(["o_orderkey"]))
+    test = split.where("is_test")
     return rows_not_in(orders, test, ["o_orderkey"]).select("o_orderkey")
 
 
@@ -79,7 +88,8 @@ def q_season_train_rows(spark, sf):
                  else n % 7 + (place - (n % 7) * (n // 7 + 1)) // (n // 7) end)::int as fold from p""",
 )
 def q_k_folds(spark, sf):
-    return k_folds(observations(spark, sf), ["event_id"], 7).select("event_id", "fold")
+    folds = k_folds(observations(spark, sf), ["event_id"], 7, order=text_hash(["event_id"]))
+    return folds.select("event_id", "fold")
 
 
 @query(

@@ -171,14 +171,16 @@ def q_dimension_first(spark, sf):
 
 @query(
     "facts_replace",
-    """select user_id as station, ts as date, event_id,
-              case when user_id < 10 then value * 2 else value end as value from events""",
+    """select event_type as station, ts as date, event_id,
+              case when event_type = 'click' then value * 2 else value end as value from events""",
 )
 def q_facts_replace(spark, sf):
     path = fresh_path(spark, "facts")
-    facts = observations(spark, sf).select("station", "date", "event_id", "value")
+    facts = observations(spark, sf).select(
+        F.col("variable").alias("station"), "date", "event_id", "value"
+    )
     replace_facts(facts, path)
-    again = facts.where("station < 10").withColumn("value", F.col("value") * 2)
+    again = facts.where("station = 'click'").withColumn("value", F.col("value") * 2)
     replace_facts(again, path)
     return spark.read.schema(facts.schema).parquet(path)
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from airloom.functions.names import lookup_key
-from airloom.session import broadcast_checked
+from airloom.session import broadcast_checked, lookup_table
 
 # Columns dropped on the way, columns that lead the table, calendar columns.
 OCEAN_COLUMNS = [
@@ -66,7 +66,7 @@ def left_merge(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFram
 def in_every_source(df: DataFrame, *sources: DataFrame, key: str = "station") -> DataFrame:
     """Rows of the stations that occur in all sources."""
     for source in sources:
-        df = df.join(broadcast_checked(source.select(key).distinct()), key, "left_semi")
+        df = df.join(lookup_table(source.select(key).distinct(), "stations"), key, "left_semi")
     return df
 
 
@@ -117,7 +117,7 @@ def add_coordinates(
         "__key", F.col("longitude").alias("Longitude"), F.col("latitude").alias("Latitude")
     )
     return df.join(
-        broadcast_checked(places), df[station] == F.col("__key"), "inner"
+        lookup_table(places, "places"), df[station] == F.col("__key"), "inner"
     ).drop("__key")
 
 
@@ -143,7 +143,7 @@ def station_at_rounded(
         "__lat", F.bround("Latitude", digits)
     )
     how = "inner" if unmatched == "drop" else "left"
-    out = placed.join(broadcast_checked(places), ["__lon", "__lat"], how).drop("__lon", "__lat")
+    out = placed.join(lookup_table(places, "places"), ["__lon", "__lat"], how).drop("__lon", "__lat")
     if unmatched == "error":
         named = F.when(F.col("Station_Name").isNotNull(), F.col("Station_Name"))
         out = out.withColumn(

@@ -15,6 +15,7 @@ from airloom.operators.ordered import MAX_GROUP_ROWS, with_positions
 # Fixed value: donors per missing value.
 DONORS = 5
 BLOCK_ROWS = 2000
+BLOCKS_PER_TASK = 2000
 
 
 def contiguous_blocks(
@@ -110,7 +111,14 @@ def knn_impute(
         block[columns] = _fill_block(cells, donors)
         return block
 
-    return wide.groupBy("__block").applyInPandas(fill, schema).drop("__block", "position")
+    # The work is in the distances, not the bytes, so tasks are counted by blocks; adaptive
+    # coalescing goes by bytes and would leave one task.
+    spark = df.sparkSession
+    last = blocked.agg(F.max("__block")).first()[0] or 0
+    cores = spark.sparkContext.defaultParallelism
+    tasks = max(1, min(last + 1, max(4 * cores, (last + 1) // BLOCKS_PER_TASK)))
+    spread = wide.repartition(tasks, "__block")
+    return spread.groupBy("__block").applyInPandas(fill, schema).drop("__block", "position")
 
 
 def imputable_columns(df: DataFrame, excluded: Sequence[str]) -> list[str]:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from airloom.session import broadcast_checked
+from airloom.session import lookup_table
 
 # How far coarse may exceed fine particles, and NOX the sum of its parts; empty
 # cells a row may have.
@@ -31,7 +31,7 @@ def measured_at(
     for i in range(len(lacks)):
         fits = fits & (F.col(f"l{i}") == 0)
     chosen = df.groupBy(station).agg(*counts).where(fits).select(station)
-    return df.join(broadcast_checked(chosen), station, "left_semi")
+    return df.join(lookup_table(chosen, "chosen"), station, "left_semi")
 
 
 def drop_empty_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from airloom.functions.names import pollutant_name
-from airloom.session import broadcast_checked
+from airloom.session import lookup_table
 
 # Variable names of the two gridded sources.
 AEROSOL_VARIABLES = [
@@ -101,7 +101,7 @@ def drop_flat_series(
         .where("low < high")
         .select(*group)
     )
-    return df.join(broadcast_checked(varied), list(group), "left_semi")
+    return df.join(lookup_table(varied, "varied"), list(group), "left_semi")
 
 
 def melt(df: DataFrame, keys: Sequence[str], names: str = "Metric", values: str = "Value") -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from airloom.functions.dates import season
-from airloom.session import broadcast_checked
+from airloom.session import lookup_table
 
 # Held-out share, seed and fold counts.
 TEST_SHARE = 0.2
@@ -23,26 +23,38 @@ FOLDS = 10
 BASE_FOLDS = 5
 
 HASH_RANGES = 65_536
-_HASH_DIGITS = 13
+_HASH_BITS = 52
 
 
 def row_hash(keys: Sequence[str], seed: int = SEED) -> Column:
-    """Whole number below 16**13 from the row key and seed."""
+    """Whole number below 2**52 from the row key and seed."""
+    mixed = F.xxhash64(*[F.col(k) for k in keys], F.lit(seed))
+    return F.shiftrightunsigned(mixed, 64 - _HASH_BITS)
+
+
+def text_hash(keys: Sequence[str], seed: int = SEED) -> Column:
+    """The same from a digest of the key's text, which other engines can reproduce. Slower."""
     text = F.concat_ws("|", *[F.col(k).cast("string") for k in keys], F.lit(str(seed)))
-    return F.conv(F.substring(F.md5(text), 1, _HASH_DIGITS), 16, 10).cast("long")
+    return F.conv(F.substring(F.md5(text), 1, _HASH_BITS // 4), 16, 10).cast("long")
 
 
 def _range_of(h: Column) -> Column:
-    return F.floor(h / (16**_HASH_DIGITS // HASH_RANGES)).cast("int")
+    return F.floor(h / (2**_HASH_BITS // HASH_RANGES)).cast("int")
 
 
-def _cuts(df: DataFrame, keys: Sequence[str], strata: Sequence[str], wanted: DataFrame | None,
-          ranks: Sequence[int], seed: int) -> DataFrame:
+def _cuts(
+    df: DataFrame,
+    keys: Sequence[str],
+    strata: Sequence[str],
+    hashed_by: Column,
+    wanted: DataFrame | None,
+    ranks: Sequence[int] = (),
+) -> DataFrame:
     """Hash and key of the row at each wanted rank, per stratum.
 
     Ranks come as a list, or per stratum from ``wanted`` with a ``rank`` column.
     """
-    hashed = df.select(*strata, *keys, row_hash(keys, seed).alias("__hash"))
+    hashed = df.select(*strata, *keys, hashed_by.alias("__hash"))
     hashed = hashed.withColumn("__range", _range_of(F.col("__hash")))
     counts = hashed.groupBy(*strata, "__range").count()
     upto = Window.partitionBy(*strata).orderBy("__range")
@@ -54,12 +66,11 @@ def _cuts(df: DataFrame, keys: Sequence[str], strata: Sequence[str], wanted: Dat
         aimed = counts.join(wanted, list(strata))
     aimed = aimed.where((F.col("__before") < F.col("rank")) & (F.col("rank") <= F.col("__upto")))
     # One row per stratum and cut.
-    aimed = aimed.select(*strata, "__range", "__before", "rank")
-    ranges = aimed.select(*strata, "__range").distinct()
-    inside = hashed.join(broadcast_checked(ranges), [*strata, "__range"], "left_semi")
+    aimed = lookup_table(aimed.select(*strata, "__range", "__before", "rank"), "aimed")
+    inside = hashed.join(aimed, [*strata, "__range"], "left_semi")
     order = Window.partitionBy(*strata, "__range").orderBy("__hash", *keys)
     placed = inside.withColumn("__place", F.row_number().over(order))
-    cut = placed.join(broadcast_checked(aimed), [*strata, "__range"]).where(
+    cut = placed.join(aimed, [*strata, "__range"]).where(
         F.col("__place") + F.col("__before") == F.col("rank")
     )
     return cut.select(*strata, "rank", F.struct("__hash", *keys).alias("cut"))
@@ -70,28 +81,29 @@ def stratified_split(
     keys: Sequence[str],
     strata: Sequence[str],
     share: float = TEST_SHARE,
-    seed: int = SEED,
     out: str = "is_test",
+    order: Column | None = None,
 ) -> DataFrame:
     """Mark ``share`` of each stratum, rounded half-even to whole rows, as test rows.
 
-    ``keys`` must identify a row.
+    ``keys`` must identify a row. ``order`` may replace the row hash.
     """
+    order = row_hash(keys) if order is None else order
     sizes = df.groupBy(*strata).agg(
         F.bround(F.count(F.lit(1)) * F.lit(share)).cast("long").alias("rank")
     )
-    cut = _cuts(df, keys, strata, sizes, (), seed).drop("rank")
-    labelled = df.withColumn("__hash", row_hash(keys, seed))
-    labelled = labelled.join(broadcast_checked(cut), list(strata), "left")
+    cut = _cuts(df, keys, strata, order, sizes).drop("rank")
+    labelled = df.withColumn("__hash", order)
+    labelled = labelled.join(lookup_table(cut, "cuts"), list(strata), "left")
     inside = F.struct("__hash", *keys) <= F.col("cut")
     return labelled.withColumn(out, F.coalesce(inside, F.lit(False))).drop("__hash", "cut")
 
 
-def _label(df: DataFrame, keys: Sequence[str], ranks: Sequence[int], seed: int) -> Column:
+def _label(df: DataFrame, keys: Sequence[str], ranks: Sequence[int], order: Column) -> Column:
     """How many of the cuts at ``ranks`` lie before a row."""
-    found = _cuts(df, keys, [], None, ranks, seed).orderBy("rank").collect()
+    found = _cuts(df, keys, [], order, None, ranks).orderBy("rank").collect()
     kinds = {f.name: f.dataType for f in df.schema.fields}
-    here = F.struct(row_hash(keys, seed).alias("__hash"), *keys)
+    here = F.struct(order.alias("__hash"), *keys)
     label = F.lit(0)
     for row in found:
         mark = F.struct(
@@ -106,35 +118,45 @@ def random_split(
     df: DataFrame,
     keys: Sequence[str],
     share: float = TEST_SHARE,
-    seed: int = SEED,
     out: str = "is_test",
+    order: Column | None = None,
 ) -> DataFrame:
     """Mark ``share`` of all rows, rounded up to whole rows, as test rows."""
+    order = row_hash(keys) if order is None else order
     wanted = math.ceil(df.count() * share)
     if wanted == 0:
         return df.withColumn(out, F.lit(False))
-    return df.withColumn(out, _label(df, keys, [wanted], seed) == 0)
+    return df.withColumn(out, _label(df, keys, [wanted], order) == 0)
 
 
 def k_folds(
-    df: DataFrame, keys: Sequence[str], folds: int = FOLDS, seed: int = SEED, out: str = "fold"
+    df: DataFrame,
+    keys: Sequence[str],
+    folds: int = FOLDS,
+    out: str = "fold",
+    order: Column | None = None,
 ) -> DataFrame:
     """Shuffled folds whose sizes differ by at most one row, longer ones first."""
+    order = row_hash(keys) if order is None else order
     rows = df.count()
     size, longer = divmod(rows, folds)
     ranks, upto = [], 0
     for fold in range(folds - 1):
         upto += size + (1 if fold < longer else 0)
         ranks.append(upto)
-    return df.withColumn(out, _label(df, keys, [r for r in ranks if 0 < r <= rows], seed))
+    return df.withColumn(out, _label(df, keys, [r for r in ranks if 0 < r <= rows], order))
 
 
 def season_split(
-    df: DataFrame, keys: Sequence[str], date: str = "date", share: float = TEST_SHARE,
-    seed: int = SEED,
+    df: DataFrame,
+    keys: Sequence[str],
+    date: str = "date",
+    share: float = TEST_SHARE,
+    order: Column | None = None,
 ) -> DataFrame:
     """``Season`` and ``is_test`` with the same share held out in every season."""
-    return stratified_split(df.withColumn("Season", season(F.col(date))), keys, ["Season"], share, seed)
+    seasonal = df.withColumn("Season", season(F.col(date)))
+    return stratified_split(seasonal, keys, ["Season"], share, order=order)
 
 
 def rows_not_in(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -82,7 +82,7 @@ def _score_held_out(model, test: DataFrame, protocol: Protocol, scale: Scale) ->
 def random_protocol(df: DataFrame, protocol: Protocol, station: str) -> Evaluation:
     """A fifth of all rows held out; scores per station and overall, MAPE as a fraction."""
     rows = _complete(df, protocol, [station])
-    split = random_split(rows, protocol.keys)
+    split = materialize(random_split(rows, protocol.keys), "split")
     train, test = split.where("not is_test"), split.where("is_test").drop("is_test")
     scale = fit_scale(train, [*protocol.features, protocol.target])
     model = _train(train, protocol, scale)
@@ -97,7 +97,7 @@ def random_protocol(df: DataFrame, protocol: Protocol, station: str) -> Evaluati
 def season_protocol(df: DataFrame, protocol: Protocol, date: str) -> Evaluation:
     """A fifth of every season held out, one fixed setting; one row of scores per season."""
     rows = _complete(df, protocol, [date])
-    split = season_split(rows, protocol.keys, date)
+    split = materialize(season_split(rows, protocol.keys, date), "split")
     train, test = split.where("not is_test"), split.where("is_test").drop("is_test")
     scale = fit_scale(train, [*protocol.features, protocol.target])
     model = fit(assemble(train, protocol.features, scale, protocol.target), protocol.setting)

@@ -68,3 +68,8 @@ def broadcast_checked(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFram
     if df.limit(max_rows + 1).count() <= max_rows:
         return F.broadcast(df)
     return df
+
+
+def lookup_table(df: DataFrame, name: str, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A derived join side, computed once, then broadcast if its size allows."""
+    return broadcast_checked(materialize(df, name), max_rows)

@@ -65,6 +65,30 @@ def mismatch(found: pd.DataFrame, wanted: pd.DataFrame) -> str | None:
     return f"{int(differing.sum())} rows differ, first {a.loc[first].to_dict()} != {b.loc[first].to_dict()}"
 
 
+def _family(kind: str) -> str:
+    kind = kind.lower()
+    for family, names in {
+        "whole": ("tinyint", "smallint", "int", "integer", "bigint"),
+        "real": ("float", "double"),
+        "text": ("string", "varchar"),
+        "flag": ("boolean",),
+        "date": ("date",),
+        "time": ("timestamp", "timestamp_ntz"),
+    }.items():
+        if kind in names:
+            return family
+    return kind
+
+
+def type_mismatch(frame, con: duckdb.DuckDBPyConnection, sql: str) -> str | None:
+    """Columns whose kind of type differs between the engines."""
+    described = con.execute(f"describe {sql}").fetchall()
+    wanted = {row[0]: _family(row[1]) for row in described}
+    found = {f.name: _family(f.dataType.simpleString()) for f in frame.schema.fields}
+    odd = {c: (found[c], wanted[c]) for c in found if c in wanted and found[c] != wanted[c]}
+    return f"types {odd}" if odd else None
+
+
 def main() -> int:
     import __spark_entry__ as registered
     from airloom.session import local_session
@@ -79,7 +103,8 @@ def main() -> int:
             continue
         start = time.time()
         try:
-            found = fn(spark, folder).toPandas()
+            frame = fn(spark, folder)
+            found = frame.toPandas()
             spent = time.time() - start
             if name not in sql:
                 print(f"rows  {name}: {len(found)} {spent:.1f}s", flush=True)
@@ -88,6 +113,7 @@ def main() -> int:
                 continue
             start = time.time()
             problem = mismatch(found, con.execute(sql[name]).df())
+            problem = problem or type_mismatch(frame, con, sql[name])
             took = f"{spent:.1f}s, sql {time.time() - start:.1f}s"
             print(f"{'FAIL' if problem else 'ok'}  {name}: {len(found)} {took} {problem or ''}", flush=True)
             bad += problem is not None
