@@ -18,22 +18,26 @@ BLOCK_ROWS = 2000
 BLOCKS_PER_TASK = 2000
 
 
+def block_count(rows: int, block_rows: int) -> int:
+    return max(1, rows // block_rows)
+
+
 def contiguous_blocks(
     df: DataFrame,
     order_by: Sequence[str],
     block_rows: int = BLOCK_ROWS,
     out: str = "block",
     max_rows: int = MAX_GROUP_ROWS,
+    rows: int | None = None,
 ) -> DataFrame:
     """Number the rows by ``order_by`` (``position``, from 0) and cut them into runs.
 
     There are ``rows // block_rows`` runs, at least one, whose sizes differ by at most one row,
-    longer ones first. No run reaches twice ``block_rows``, whatever the keys look like.
+    longer ones first. ``order_by`` should identify a row. No run reaches twice ``block_rows``, whatever the keys look like.
     """
-    rows = df.count()
-    blocks = max(1, rows // block_rows)
-    size, longer = divmod(rows, blocks)
-    placed = with_positions(df, [], order_by, "position", max_rows)
+    rows = df.count() if rows is None else rows
+    size, longer = divmod(rows, block_count(rows, block_rows))
+    placed = with_positions(df, [], order_by, "position", max_rows, rows)
     placed = placed.withColumn("position", F.col("position") - 1)
     edge = longer * (size + 1)
     block = F.when(
@@ -93,32 +97,35 @@ def knn_impute(
     distance matrix and pairs of rows are never shuffled. Columns outside ``columns``, such
     as calendar indicators, are carried along untouched.
     """
-    columns = list(columns)
-    blocked = contiguous_blocks(df, order_by, block_rows, "__block", max_rows)
+    rows = df.count()
+    blocked = contiguous_blocks(df, order_by, block_rows, "__block", max_rows, rows)
+    # Numbered names inside, since grouped pandas functions cannot read names with dots.
+    inner = {c: f"c{i}" for i, c in enumerate(df.columns)}
+    needed = [inner[c] for c in columns]
     wide = blocked.select(
+        "__block",
+        "position",
         *[
-            F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None)).alias(c)
-            if c in columns
-            else F.col(f"`{c}`")
-            for c in blocked.columns
-        ]
+            F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None)).alias(name)
+            if name in needed
+            else F.col(f"`{c}`").alias(name)
+            for c, name in inner.items()
+        ],
     )
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in wide.schema.fields])
 
     def fill(block: pd.DataFrame) -> pd.DataFrame:
         block = block.sort_values("position", kind="stable")
-        cells = block[columns].to_numpy(dtype="float64")
-        block[columns] = _fill_block(cells, donors)
+        block[needed] = _fill_block(block[needed].to_numpy(dtype="float64"), donors)
         return block
 
     # The work is in the distances, not the bytes, so tasks are counted by blocks; adaptive
     # coalescing goes by bytes and would leave one task.
-    spark = df.sparkSession
-    last = blocked.agg(F.max("__block")).first()[0] or 0
-    cores = spark.sparkContext.defaultParallelism
-    tasks = max(1, min(last + 1, max(4 * cores, (last + 1) // BLOCKS_PER_TASK)))
-    spread = wide.repartition(tasks, "__block")
-    return spread.groupBy("__block").applyInPandas(fill, schema).drop("__block", "position")
+    blocks = block_count(rows, block_rows)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    tasks = min(blocks, max(4 * cores, blocks // BLOCKS_PER_TASK))
+    filled = wide.repartition(tasks, "__block").groupBy("__block").applyInPandas(fill, schema)
+    return filled.select(*[F.col(name).alias(c) for c, name in inner.items()])
 
 
 def imputable_columns(df: DataFrame, excluded: Sequence[str]) -> list[str]:

@@ -134,9 +134,15 @@ def with_positions(
     order_by: Sequence[str],
     out: str,
     max_rows: int = MAX_GROUP_ROWS,
+    rows: int | None = None,
 ) -> DataFrame:
-    """1-based row number within each group, over the whole frame if ``group`` is empty."""
-    df, keys = slice_hot_groups(df, group, order_by, max_rows)
+    """1-based row number within each group, over the whole frame if ``group`` is empty.
+
+    ``rows`` may give the known number of rows.
+    """
+    keys: list[str] = []
+    if rows is None or rows > max_rows:
+        df, keys = slice_hot_groups(df, group, order_by, max_rows)
     window = Window.partitionBy(*group, *keys).orderBy(*_sorted_by(order_by))
     numbered = df.withColumn(out, F.row_number().over(window).cast("long"))
     if not keys:
