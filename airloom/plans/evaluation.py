@@ -136,7 +136,7 @@ def _leave_one_out(
 
     folds = sorted(stats)
     with ThreadPool(max(1, min(protocol.parallelism, len(folds)))) as pool:
-        found = pool.map(inheritable_thread_target(run), list(enumerate(folds)), chunksize=1)
+        found = pool.map(inheritable_thread_target(spark)(run), list(enumerate(folds)), chunksize=1)
     schema = T.StructType([*IMPORTANCES.fields, T.StructField("fold", T.StringType())])
     flat = spark.createDataFrame([row for rows_ in found for row in rows_], schema)
     predictions = spark.read.parquet(path).drop("part")
