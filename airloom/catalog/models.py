@@ -311,7 +311,7 @@ def _protocol(**more) -> Protocol:
 
 @query("protocol_random")
 def q_protocol_random(spark, sf):
-    return random_protocol(_regression(spark, sf), _protocol(), "station").scores
+    return random_protocol(_regression(spark, sf), _protocol(), "station", "l_shipdate").scores
 
 
 @query("protocol_season")
@@ -338,4 +338,4 @@ def q_protocol_base(spark, sf):
 @query("grid_search")
 def q_grid_search(spark, sf):
     protocol = _protocol(grid={"depth": [2, 3], "rate": [0.1, 0.3]}, folds=2)
-    return random_protocol(_regression(spark, sf), protocol, "station").importances
+    return random_protocol(_regression(spark, sf), protocol, "station", "l_shipdate").importances

@@ -30,6 +30,7 @@ from airloom.sources.files import read_combined, read_station_files, read_tree
 from airloom.sources.grids import (
     granule_observations,
     grid_observations,
+    read_stations,
     station_dimension,
     with_coordinates,
 )
@@ -137,6 +138,17 @@ def q_coordinate_alias(spark, sf):
     return with_coordinates(odd)
 
 
+@query(
+    "station_source",
+    f"with {STATIONS_SQL} select station::varchar as station, latitude, longitude from stations",
+)
+def q_station_source(spark, sf):
+    path = fresh_path(spark, "stations")
+    table_ = stations(spark, sf).select("longitude", "station", "latitude")
+    table_.write.option("header", True).csv(path)
+    return read_stations(spark, path)
+
+
 @query(
     "station_dimension",
     f"""with {STATIONS_SQL}

@@ -15,9 +15,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Rows one window task may sort, and the most slices cut in one pass.
+# Rows one window task may sort, the most slices cut in one pass, and the most passes over
+# one sort column.
 MAX_GROUP_ROWS = 5_000_000
 MAX_SLICES = 4096
+MAX_CUTS = 3
 
 _POSITION = "__position"
 
@@ -42,75 +44,87 @@ def _cut_points(positions: DataFrame, parts: int) -> list[float]:
     return sorted(cuts)
 
 
+def _too_large(
+    df: DataFrame, keys: Sequence[str], column: str, earlier: Sequence[str], max_rows: int
+) -> DataFrame:
+    """Groups above the bound, and whether ``column`` can cut them: all rows agree in the
+    earlier sort columns, and its own values differ or some are missing."""
+    found = [F.count(F.lit(1)).alias("__rows")]
+    differs = []
+    for i, c in enumerate([*earlier, column]):
+        found += [
+            F.count(c).alias(f"__n{i}"), F.min(c).alias(f"__low{i}"), F.max(c).alias(f"__high{i}")
+        ]
+        mixed = (F.col(f"__n{i}") > 0) & (F.col(f"__n{i}") < F.col("__rows"))
+        differs.append(mixed | F.coalesce(F.col(f"__low{i}") < F.col(f"__high{i}"), F.lit(False)))
+    cuttable = differs[-1]
+    for differ in differs[:-1]:
+        cuttable = cuttable & ~differ
+    sizes = df.groupBy(*keys).agg(*found).where(F.col("__rows") > max_rows)
+    return sizes.select(*keys, "__rows", cuttable.alias("__cuttable"))
+
+
 def slice_hot_groups(
     df: DataFrame,
     group: Sequence[str],
     order_by: Sequence[str],
     max_rows: int = MAX_GROUP_ROWS,
-    sizes: DataFrame | None = None,
 ) -> tuple[DataFrame, list[str]]:
     """Add slice columns to the rows of groups larger than ``max_rows``.
 
     Slices follow ``order_by``: sorting by the slice columns and then ``order_by`` is sorting
     by ``order_by``. Groups within the bound carry -1. Returns the frame and the slice
-    columns, none if no group is too large. ``sizes`` may give cheaper group sizes with a
-    ``count`` column. Cuts use the first sort column; a slice whose rows all share its value
-    is cut by the next one.
+    columns, none if no group is too large. A group gets about as many slices as it has times
+    ``max_rows`` rows. Slices still too large are cut again, and those whose rows share one
+    value by the next sort column.
     """
     keys: list[str] = []
-    cut_keys = list(group)
-    candidates = df
-    for depth, column in enumerate(order_by):
+    at, tries = 0, 0
+    while at < len(order_by):
+        column = order_by[at]
         position = _as_position(df, column)
         if position is None:
             break
-        if depth == 0 and sizes is None:
-            found = df.groupBy(*cut_keys).count()
-        elif depth == 0:
-            found = sizes
-        else:
-            found = (
-                candidates.groupBy(*cut_keys)
-                .agg(
-                    F.count(F.lit(1)).alias("count"),
-                    F.min(order_by[depth - 1]).alias("low"),
-                    F.max(order_by[depth - 1]).alias("high"),
-                )
-                .where("low = high")
-                .drop("low", "high")
-            )
-        # At most rows / max_rows groups are hot, so this side stays small.
-        hot = found.where(F.col("count") > max_rows)
-        hot_rows = hot.agg(F.sum("count")).first()[0]
-        if not hot_rows:
-            break
-        hot = hot.select(*cut_keys, F.lit(True).alias("__hot"))
+        cut_keys = [*group, *keys]
+        candidates = df.where(F.col(keys[0]) >= 0) if keys else df
+        # At most rows / max_rows groups are too large, so this side stays small.
+        large = _too_large(candidates, cut_keys, column, order_by[:at], max_rows)
+        hot = large.where("__cuttable").drop("__cuttable")
+        hot_rows = hot.agg(F.sum("__rows")).first()[0]
+        if not hot_rows or tries == MAX_CUTS:
+            if not keys and not large.take(1):
+                break
+            at, tries = at + 1, 0
+            continue
+        tries += 1
         parts = min(MAX_SLICES, math.ceil(hot_rows / max_rows) + 1)
         if cut_keys:
             marked = df.join(F.broadcast(hot), cut_keys, "left")
         else:
-            marked = df.withColumn("__hot", F.lit(True))
-        marked = marked.withColumn(_POSITION, F.when(F.col("__hot"), position))
+            marked = df.withColumn("__rows", F.lit(hot_rows))
+        marked = marked.withColumn(
+            _POSITION, F.when(F.col("__rows").isNotNull(), position)
+        )
         points = _cut_points(marked.where(f"{_POSITION} is not null"), parts)
-        key = f"__slice{depth}"
+        key = f"__slice{len(keys)}"
         cutter = Bucketizer(
             splits=[-math.inf, *points, math.inf],
             inputCol=_POSITION,
             outputCol=key,
             handleInvalid="keep",
         )
-        df = cutter.transform(marked)
+        # Cuts are shared by all hot groups; a smaller group joins several into one slice.
+        own = F.ceil(F.col("__rows") / max_rows) + 1
+        step = F.greatest(F.floor(F.lit(len(points) + 1) / own), F.lit(1))
         # Null positions sort first, as the window does.
-        df = df.withColumn(
+        df = cutter.transform(marked).withColumn(
             key,
-            F.when(F.col("__hot").isNull(), F.lit(-1))
+            F.when(F.col("__rows").isNull(), F.lit(-1))
             .when(F.col(_POSITION).isNull(), F.lit(0))
-            .otherwise(F.col(key) + 1)
+            .otherwise(F.floor(F.col(key) / step) + 1)
             .cast("int"),
-        ).drop("__hot", _POSITION)
+        ).drop("__rows", _POSITION)
         keys.append(key)
-        cut_keys = [*cut_keys, key]
-        candidates = df.where(F.col(key) >= 0)
     return df, keys
 
 

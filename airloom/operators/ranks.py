@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from airloom.operators.ordered import MAX_GROUP_ROWS, _join_slices, slice_hot_groups
-from airloom.session import materialize
+from airloom.session import broadcast_checked, materialize
 
 # Share of each tail that is pruned, and the columns pruned.
 TAIL_SHARE = 0.001
@@ -57,7 +57,7 @@ def value_ranks(
         ranked = _join_slices(ranked, offsets, [*group, *keys])
         ranked = ranked.withColumn("rank_last", F.col("rank_last") + F.coalesce("__off", F.lit(0)))
         if group:
-            ranked = ranked.join(totals, group)
+            ranked = ranked.join(broadcast_checked(totals), group)
         else:
             ranked = ranked.withColumn("n", F.lit(totals.first()[0]))
     first = (F.col("rank_last") - F.col("n_value") + 1).alias("rank_first")

@@ -20,6 +20,9 @@ from airloom.session import broadcast_checked, materialize
 # Fixed value: neighbours per station.
 NEIGHBOURS = 4
 
+# Neighbour rows that may be broadcast; three short columns each.
+NEIGHBOUR_ROWS = 2_000_000
+
 # Cells a tile of the last level should hold at most, and the deepest level tried.
 TILE_CELLS = 64
 MAX_LEVEL = 12
@@ -187,7 +190,7 @@ def interpolate(
     ``exact="take"``.
     """
     shared = [c for c in neighbours.columns if c in observations.columns]
-    near = broadcast_checked(neighbours.select(*shared, "station", "d2"))
+    near = broadcast_checked(neighbours.select(*shared, "station", "d2"), NEIGHBOUR_ROWS)
     weight = F.try_divide(F.lit(1.0), F.sqrt("d2"))
     value = F.nanvl(F.col("value").cast("double"), F.lit(None))
     joined = observations.join(near, shared).select(

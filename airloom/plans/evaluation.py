@@ -8,7 +8,7 @@ finish.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from airloom.operators.assemble import drop_calendar, drop_if_present
+from airloom.operators.assemble import CALENDAR_COLUMNS, drop_calendar, drop_if_present
 from airloom.operators.boosting import (
     IMPORTANCES,
     Boosting,
@@ -79,9 +79,22 @@ def _score_held_out(model, test: DataFrame, protocol: Protocol, scale: Scale) ->
     return predict(model, ready, protocol.target, scale, PREDICTED)
 
 
-def random_protocol(df: DataFrame, protocol: Protocol, station: str) -> Evaluation:
-    """A fifth of all rows held out; scores per station and overall, MAPE as a fraction."""
-    rows = _complete(df, protocol, [station])
+def _with_feature(protocol: Protocol, name: str) -> Protocol:
+    return replace(protocol, features=[*[f for f in protocol.features if f != name], name])
+
+
+def _without_calendar(protocol: Protocol) -> Protocol:
+    kept = [f for f in protocol.features if f not in CALENDAR_COLUMNS]
+    return replace(protocol, features=kept)
+
+
+def random_protocol(df: DataFrame, protocol: Protocol, station: str, date: str) -> Evaluation:
+    """A fifth of all rows held out; scores per station and overall, MAPE as a fraction.
+
+    The year is a feature.
+    """
+    protocol = _with_feature(protocol, "Year")
+    rows = _complete(df.withColumn("Year", F.year(date)), protocol, [station])
     split = materialize(random_split(rows, protocol.keys), "split")
     train, test = split.where("not is_test"), split.where("is_test").drop("is_test")
     scale = fit_scale(train, [*protocol.features, protocol.target])
@@ -95,8 +108,12 @@ def random_protocol(df: DataFrame, protocol: Protocol, station: str) -> Evaluati
 
 
 def season_protocol(df: DataFrame, protocol: Protocol, date: str) -> Evaluation:
-    """A fifth of every season held out, one fixed setting; one row of scores per season."""
-    rows = _complete(df, protocol, [date])
+    """A fifth of every season held out, one fixed setting; one row of scores per season.
+
+    The month is a feature.
+    """
+    protocol = _with_feature(protocol, "Month")
+    rows = _complete(df.withColumn("Month", F.month(date)), protocol, [date])
     split = materialize(season_split(rows, protocol.keys, date), "split")
     train, test = split.where("not is_test"), split.where("is_test").drop("is_test")
     scale = fit_scale(train, [*protocol.features, protocol.target])
@@ -146,7 +163,11 @@ def _leave_one_out(
 def station_protocol(
     df: DataFrame, protocol: Protocol, station: str, model_folder: str | None = None
 ) -> Evaluation:
-    """Every station predicted from all others; mean importances; MAPE in percent."""
+    """Every station predicted from all others; mean importances; MAPE in percent.
+
+    Calendar columns are no features.
+    """
+    protocol = _without_calendar(protocol)
     rows = _complete(df, protocol, [station])
     predictions, per_fold = _leave_one_out(rows, protocol, station, model_folder)
     scores = score_table(
@@ -158,7 +179,11 @@ def station_protocol(
 def year_protocol(
     df: DataFrame, protocol: Protocol, date: str, model_folder: str | None = None
 ) -> Evaluation:
-    """Every year predicted from all others; importances per year; MAPE in percent."""
+    """Every year predicted from all others; importances per year; MAPE in percent.
+
+    Calendar columns are no features.
+    """
+    protocol = _without_calendar(protocol)
     rows = _complete(df.withColumn("Year", F.year(date)), protocol, ["Year"])
     predictions, per_fold = _leave_one_out(rows, protocol, "Year", model_folder)
     scores = score_table(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airloom.functions.dates import granule_date
@@ -53,6 +53,19 @@ def granule_observations(
     )
 
 
+def read_stations(spark: SparkSession, path: str, file_format: str = "csv") -> DataFrame:
+    """Station table by column name, whatever the column order of the file."""
+    reader = spark.read.format(file_format)
+    if file_format == "csv":
+        reader = reader.option("header", True)
+    found = reader.load(path)
+    return found.select(
+        F.col("station").cast("string").alias("station"),
+        F.col("latitude").cast("double").alias("latitude"),
+        F.col("longitude").cast("double").alias("longitude"),
+    )
+
+
 def station_dimension(df: DataFrame, order: str) -> DataFrame:
     """One row per normalised station name; of repeated names the last by ``order`` counts."""
     keyed = df.select(station_key(F.col("station")).alias("station"), "latitude", "longitude", order)

@@ -41,8 +41,9 @@ def _case(kind):
     return cells, stations
 
 
-@pytest.mark.parametrize("kind", ["grid", "clusters", "copies", "line", "two"])
-@pytest.mark.parametrize("tile_cells", [4, 64])
+@pytest.mark.parametrize(
+    "kind,tile_cells", [("grid", 64), ("grid", 4), ("clusters", 16), ("copies", 4), ("line", 4), ("two", 64)]
+)
 def test_against_brute_force(spark, kind, tile_cells):
     cells, stations = _case(kind)
     near = nearest_cells(*_frames(spark, cells, stations), tile_cells=tile_cells)
