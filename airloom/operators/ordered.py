@@ -132,12 +132,17 @@ def _sorted_by(order_by: Sequence[str]) -> list[Column]:
     return [F.col(c).asc_nulls_first() for c in order_by]
 
 
-def _join_slices(df: DataFrame, summary: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Attach per-slice rows. Only slices of hot groups have one, at most rows / max_rows
-    plus one per hot group, so the summary is broadcast."""
+def join_summary(
+    df: DataFrame, summary: DataFrame, keys: Sequence[str], hint=F.broadcast
+) -> DataFrame:
+    """Attach summary rows, missing keys matching each other.
+
+    Slice summaries only have rows for slices of hot groups, about rows / max_rows, so they
+    are broadcast; others bring their own ``hint``.
+    """
     named = [F.col(k).alias(f"__s_{k}") for k in keys]
     rest = [c for c in summary.columns if c not in keys]
-    side = F.broadcast(summary.select(*named, *rest))
+    side = hint(summary.select(*named, *rest))
     match = [F.col(k).eqNullSafe(F.col(f"__s_{k}")) for k in keys]
     return df.join(side, match, "left").drop(*[f"__s_{k}" for k in keys])
 
@@ -168,7 +173,7 @@ def with_positions(
         .count()
         .select(*group, *keys, F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__off"))
     )
-    shifted = _join_slices(numbered, offsets, [*group, *keys])
+    shifted = join_summary(numbered, offsets, [*group, *keys])
     return shifted.withColumn(out, F.col(out) + F.coalesce("__off", F.lit(0))).drop("__off", *keys)
 
 
@@ -192,7 +197,7 @@ def with_previous(
     )
     along = Window.partitionBy(*group).orderBy(*keys)
     carried = tails.select(*group, *keys, F.lag("__tail").over(along).alias("__before"))
-    out = _join_slices(out, carried, [*group, *keys])
+    out = join_summary(out, carried, [*group, *keys])
     for name, column in columns.items():
         first = (F.col("__row") == 1) & F.col("__before").isNotNull()
         out = out.withColumn(
@@ -241,7 +246,7 @@ def trim_null_runs(
         "__start",
         F.max(F.col("__start") + F.col("__seen")).over(before).alias("__carried"),
     )
-    out = _join_slices(numbered, summary, [*group, *keys])
+    out = join_summary(numbered, summary, [*group, *keys])
     start = F.coalesce("__start", F.lit(0))
     carried = F.coalesce("__carried", F.lit(0))
     run = F.when(F.col("__last").isNotNull(), F.col("__row") - F.col("__last")).otherwise(

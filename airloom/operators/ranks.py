@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from airloom.operators.ordered import MAX_GROUP_ROWS, _join_slices, slice_hot_groups
+from airloom.operators.ordered import MAX_GROUP_ROWS, join_summary, slice_hot_groups
 from airloom.session import broadcast_checked, materialize
 
 # Share of each tail that is pruned, and the columns pruned.
@@ -29,20 +29,20 @@ def value_ranks(
     group = list(group)
     present = df.where(F.col(value).isNotNull()).select(*group, value)
     counts = present.groupBy(*group, value).agg(F.count(F.lit(1)).alias("n_value"))
-    sizes = present.groupBy(*group).agg(F.approx_count_distinct(value).alias("count"))
-    if (sizes.agg(F.max("count")).first()[0] or 0) > max_rows:
+    sizes = materialize(
+        present.groupBy(*group).agg(
+            F.approx_count_distinct(value).alias("distinct"), F.count(F.lit(1)).alias("n")
+        ),
+        "group-sizes",
+    )
+    keys: list[str] = []
+    if (sizes.agg(F.max("distinct")).first()[0] or 0) > max_rows:
         counts = materialize(counts, "value-counts")
         counts, keys = slice_hot_groups(counts, group, [value], max_rows)
-    else:
-        keys = []
-    whole = Window.partitionBy(*group)
     running = Window.partitionBy(*group, *keys).orderBy(value)
     running = running.rowsBetween(Window.unboundedPreceding, 0)
     ranked = counts.withColumn("rank_last", F.sum("n_value").over(running))
-    if not keys:
-        ranked = ranked.withColumn("n", F.sum("n_value").over(whole))
-    else:
-        totals = counts.groupBy(*group).agg(F.sum("n_value").alias("n"))
+    if keys:
         along = Window.partitionBy(*group).orderBy(*keys)
         offsets = (
             counts.where(F.col(keys[0]) >= 0)
@@ -54,12 +54,13 @@ def value_ranks(
                 (F.sum("__sum").over(along) - F.col("__sum")).alias("__off"),
             )
         )
-        ranked = _join_slices(ranked, offsets, [*group, *keys])
+        ranked = join_summary(ranked, offsets, [*group, *keys])
         ranked = ranked.withColumn("rank_last", F.col("rank_last") + F.coalesce("__off", F.lit(0)))
-        if group:
-            ranked = ranked.join(broadcast_checked(totals), group)
-        else:
-            ranked = ranked.withColumn("n", F.lit(totals.first()[0]))
+    # One row per group.
+    if group:
+        ranked = join_summary(ranked, sizes.select(*group, "n"), group, broadcast_checked)
+    else:
+        ranked = ranked.withColumn("n", F.lit(sizes.first()["n"]))
     first = (F.col("rank_last") - F.col("n_value") + 1).alias("rank_first")
     return ranked.select(*group, value, "n_value", first, "rank_last", "n")
 
