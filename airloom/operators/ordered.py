@@ -19,19 +19,41 @@ from pyspark.sql import types as T
 # one sort column.
 MAX_GROUP_ROWS = 5_000_000
 MAX_SLICES = 4096
-MAX_CUTS = 3
+MAX_CUTS = 4
 
 _POSITION = "__position"
 
 
-def _as_position(df: DataFrame, column: str) -> Column | None:
-    """Sort column as a double in the same order, or null for types without one."""
+_TIMES = (T.DateType, T.TimestampType, T.TimestampNTZType)
+_TEXT_BYTES = 6
+
+
+def _sliceable(df: DataFrame, column: str) -> bool:
+    kind = df.schema[column].dataType
+    return isinstance(kind, (T.NumericType, T.StringType, *_TIMES))
+
+
+def _as_position(df: DataFrame, column: str) -> Column:
+    """Sort column as a double that never runs against its order within a group.
+
+    Of text it is the first bytes after the ``__shared`` letters all values of the group begin
+    with.
+    """
     kind = df.schema[column].dataType
-    if isinstance(kind, T.NumericType):
-        return F.col(column).cast("double")
-    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+    if isinstance(kind, _TIMES):
         return F.unix_micros(F.col(column).cast("timestamp")).cast("double")
-    return None
+    if isinstance(kind, T.StringType):
+        tail = F.substring(F.col(column), F.col("__shared") + 1, F.lit(_TEXT_BYTES))
+        start = F.substring(F.encode(tail, "UTF-8"), 1, _TEXT_BYTES)
+        return F.conv(F.rpad(F.hex(start), 2 * _TEXT_BYTES, "0"), 16, 10).cast("double")
+    return F.col(column).cast("double")
+
+
+def _shared_letters(low: Column, high: Column) -> Column:
+    """How many letters the smallest and the largest text of a group begin with alike."""
+    lengths = F.sequence(F.lit(1), F.greatest(F.length(low), F.lit(1)))
+    alike = F.filter(lengths, lambda i: F.left(low, i) == F.left(high, i))
+    return F.size(alike)
 
 
 def _cut_points(positions: DataFrame, parts: int) -> list[float]:
@@ -61,7 +83,13 @@ def _too_large(
     for differ in differs[:-1]:
         cuttable = cuttable & ~differ
     sizes = df.groupBy(*keys).agg(*found).where(F.col("__rows") > max_rows)
-    return sizes.select(*keys, "__rows", cuttable.alias("__cuttable"))
+    shared = F.lit(0)
+    if isinstance(df.schema[column].dataType, T.StringType):
+        last = len(earlier)
+        shared = _shared_letters(F.col(f"__low{last}"), F.col(f"__high{last}"))
+    return sizes.select(
+        *keys, "__rows", cuttable.alias("__cuttable"), shared.alias("__shared")
+    )
 
 
 def slice_hot_groups(
@@ -82,8 +110,7 @@ def slice_hot_groups(
     at, tries = 0, 0
     while at < len(order_by):
         column = order_by[at]
-        position = _as_position(df, column)
-        if position is None:
+        if not _sliceable(df, column):
             break
         cut_keys = [*group, *keys]
         candidates = df.where(F.col(keys[0]) >= 0) if keys else df
@@ -101,10 +128,11 @@ def slice_hot_groups(
         if cut_keys:
             marked = df.join(F.broadcast(hot), cut_keys, "left")
         else:
+            whole = hot.first()
             marked = df.withColumn("__rows", F.lit(hot_rows))
-        marked = marked.withColumn(
-            _POSITION, F.when(F.col("__rows").isNotNull(), position)
-        )
+            marked = marked.withColumn("__shared", F.lit(whole["__shared"]))
+        position = _as_position(df, column)
+        marked = marked.withColumn(_POSITION, F.when(F.col("__rows").isNotNull(), position))
         points = _cut_points(marked.where(f"{_POSITION} is not null"), parts)
         key = f"__slice{len(keys)}"
         cutter = Bucketizer(
@@ -123,7 +151,7 @@ def slice_hot_groups(
             .when(F.col(_POSITION).isNull(), F.lit(0))
             .otherwise(F.floor(F.col(key) / step) + 1)
             .cast("int"),
-        ).drop("__rows", _POSITION)
+        ).drop("__rows", "__shared", _POSITION)
         keys.append(key)
     return df, keys
 

@@ -53,6 +53,17 @@ def test_slices_grow_with_the_group(spark):
     assert len(sizes) <= 40 * 4 and sizes["count"].max() <= 60
 
 
+def test_text_order(spark):
+    names = [f"istasyon_{w}{i}" for i in range(60) for w in ("", "a", "ağrı", "ığdır", "çan")]
+    data = [(n, i) for i, n in enumerate(names)] + [("istasyon_ağrı1", 1000 + i) for i in range(100)]
+    frame = spark.createDataFrame(data, "name string, id int")
+    got = with_positions(frame, [], ["name", "id"], "n", 40)
+    wanted = sorted(data, key=lambda r: (r[0].encode(), r[1]))
+    assert [r[:2] for r in rows(got, "n")] == wanted
+    sliced, keys = slice_hot_groups(frame, [], ["name", "id"], 40)
+    assert sliced.groupBy(*keys).count().agg(F.max("count")).first()[0] <= 80
+
+
 def test_null_positions_come_first(spark):
     data = [(None if i % 2 else 7, i) for i in range(100)]
     frame = spark.createDataFrame(data, "t int, id int")
