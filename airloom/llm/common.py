@@ -16,12 +16,13 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 #: Words are maximal runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
+SPACE = r"[\x20\x09-\x0D]+"
 SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
 
 #: A slice of a batch holds about so many text bytes, or one longer text.
 SLICE_BYTES = 2_000_000
 
-__all__ = ["Query", "WORD", "documents", "flat", "materialize", "settled", "slices", "table", "texts", "word_spans"]
+__all__ = ["Query", "SPACE", "WORD", "documents", "flat", "materialize", "slices", "table", "texts", "window_starts", "word_spans"]
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -38,15 +39,6 @@ def texts() -> Column:
     return F.coalesce(F.col("text"), F.lit(""))
 
 
-def settled(flag: Column) -> Column:
-    """The same flag, but one that filters above do not repeat below.
-
-    A filter on a computed column is pushed down by copying its expression; copies of long array
-    expressions inside lambdas would be evaluated for each element. Columns that number rows stay in place.
-    """
-    return flag & (F.monotonically_increasing_id() >= 0)
-
-
 def flat(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a text column in a row, and where each text begins; nulls are empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -76,22 +68,24 @@ _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[list(SPACES)] = True
 
 
-def word_spans(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Byte bounds of all words of all texts, and the number of words of each text."""
-    # A separator before, between and after the texts keeps words apart.
-    inside = ~_IS_SPACE[data]
-    before = np.empty(len(data), bool)
-    before[1:] = inside[:-1]
-    first = at[:-1][at[:-1] < len(data)]
-    before[first] = False
-    if len(data):
-        before[0] = False
-    after = np.empty(len(data), bool)
-    after[:-1] = inside[1:]
-    if len(data):
-        after[-1] = False
-    after[first[first > 0] - 1] = False
-    start = np.flatnonzero(inside & ~before)
-    end = np.flatnonzero(inside & ~after) + 1
-    counts = np.diff(np.searchsorted(start, at))
-    return start, end, counts
+def word_spans(
+    data: np.ndarray, at: np.ndarray, in_word: np.ndarray = ~_IS_SPACE
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Byte bounds of all words, and where the words of each text begin among them."""
+    inside = in_word[data]
+    # A word begins or ends where the next byte is of the other kind, and where texts meet.
+    edge = np.empty(len(data) + 1, bool)
+    edge[1:-1] = inside[1:] != inside[:-1]
+    edge[[0, -1]] = True
+    edge[at] = True
+    places = np.flatnonzero(edge)
+    start, end = places[:-1], places[1:]
+    of_word = inside[start] if len(data) else np.zeros(0, bool)
+    start, end = start[of_word], end[of_word]
+    return start, end, np.searchsorted(start, at)
+
+
+def window_starts(at: np.ndarray, length: int, n: int) -> np.ndarray:
+    """Which of ``n`` places have ``length`` values ahead in their text; texts begin at ``at``."""
+    ends = np.repeat(at[1:], np.diff(at))[:n]
+    return np.arange(n) + length <= ends

@@ -15,26 +15,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airloom.llm.common import WORD, documents, materialize, settled, table, texts
+from airloom.llm.common import SPACE, WORD, documents, materialize, table, texts
 from airloom.session import broadcast_checked
 
-# Common words of the languages.
+# Common words of the languages, as they are written within a sentence.
 COMMON_WORDS = {
-    "en": "the of and to in is that for it as was with on be by are this from or an at not".split(),
-    "fr": "le la les de des du et un une en que qui est dans pour par sur au aux pas avec il".split(),
-    "de": "der die das und in zu den von mit ist des sich auf für nicht ein eine dem im auch".split(),
-    "es": "el la los las de del y en que un una es por con para se su al lo no como más".split(),
+    "en": "the of and to in is that for it as was with".split(),
+    "fr": "le la les de des du et un une en que dans".split(),
+    "de": "der die das und in zu den von mit ist des ein".split(),
+    "es": "el la los las de del y en que un una por".split(),
 }
 
-# Counted character classes; the rest of the characters in words is one more.
-CLASSES = {
-    "n_symbols": r"[#*$%&|<>]",
-    "n_upper": r"\p{Lu}",
-    "n_digits": r"[0-9]",
-    "n_shouts": r"[!?]",
-    "n_stops": r"[.,;:()\"'-]",
-}
+# Counted character classes; the other characters in words are one more.
+CLASSES = {"n_symbols": r"[#*$%&|<>]", "n_capitals": r"[A-Z]", "n_digits": r"[0-9]"}
 
+#: Repeated windows that are searched for one by one in a text.
+FEW = 12
 #: Shortest document and reference, in words, that divergence judges.
 MIN_WORDS = 60
 MIN_REFERENCE_WORDS = 2000
@@ -50,12 +46,12 @@ def histograms(docs: DataFrame) -> DataFrame:
     listed = F.array().cast("array<string>")
     for name, words in COMMON_WORDS.items():
         listed = F.when(F.col("lang") == name, F.array(*map(F.lit, words))).otherwise(listed)
-    out = docs.withColumn("words", F.regexp_extract_all(texts(), F.lit(WORD), F.lit(0)))
+    out = docs.withColumn("words", F.array_remove(F.split(texts(), SPACE), ""))
     out = out.withColumns(
         {
             "n_words": F.size("words").cast("long"),
             "word_chars": F.length(F.array_join("words", "")).cast("long"),
-            "common": F.transform(F.filter("words", lambda w: F.lower(w).isin(every)), F.lower),
+            "common": F.filter("words", lambda w: w.isin(every)),
             **{k: F.regexp_count(texts(), F.lit(v)).cast("long") for k, v in CLASSES.items()},
         }
     )
@@ -78,33 +74,44 @@ def histograms(docs: DataFrame) -> DataFrame:
 def repeated_words(df: DataFrame) -> DataFrame:
     """Adds ``n_repeat_words``: words in 3-word windows found twice or more in the text.
 
-    Windows are hashed and sorted with their places; one is repeated if a neighbour has its hash.
+    Windows are hashed; equal neighbours among the sorted hashes are the repeated ones. Where they
+    are few, their places are looked up; otherwise hashes are sorted with their places.
     """
     grams = F.transform(
         F.slice("words", F.lit(1), F.greatest(F.size("words") - 2, F.lit(0))),
         lambda w, i: F.xxhash64(w, F.get("words", i + 1), F.get("words", i + 2)),
     )
-    placed = F.transform("grams", lambda h, i: F.struct(h.alias("h"), i.cast("long").alias("i")))
     some = F.size(F.array_distinct("grams")) < F.size("grams")
+    again = F.array_distinct(
+        F.filter("ordered", lambda h, i: F.coalesce(F.get("ordered", i - 1) == h, F.lit(False)))
+    )
+    looked_up = F.filter(
+        F.transform("grams", lambda h, i: F.when(F.array_contains("again", h), i)),
+        lambda i: i.isNotNull(),
+    )
 
-    def again(e: Column, i: Column) -> Column:
+    def twin(e: Column, i: Column) -> Column:
         before, after = F.get("placed", i - 1)["h"], F.get("placed", i + 1)["h"]
         return F.coalesce(before == e["h"], F.lit(False)) | F.coalesce(after == e["h"], F.lit(False))
 
+    few = F.size("again") <= FEW
+    placed = F.sort_array(F.transform("grams", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    merged = F.sort_array(F.transform(F.filter("placed", twin), lambda e: e["i"]))
     covered = F.aggregate(
-        "again",
-        F.struct(F.lit(0).cast("long").alias("n"), F.lit(-3).cast("long").alias("last")),
+        "places",
+        F.struct(F.lit(0).alias("n"), F.lit(-3).alias("last")),
         lambda a, x: F.struct(
-            (a["n"] + F.least(F.lit(3).cast("long"), x - a["last"])).alias("n"), x.alias("last")
+            (a["n"] + F.least(F.lit(3), x - a["last"])).alias("n"), x.alias("last")
         ),
-        lambda a: a["n"],
+        lambda a: a["n"].cast("long"),
     )
-    out = df.withColumn("grams", grams)
-    out = out.withColumn("placed", F.when(some, F.sort_array(placed)))
-    places = F.sort_array(F.transform(F.filter("placed", again), lambda e: e["i"]))
-    out = out.withColumn("again", places)
+    out = df.withColumn("grams", grams).withColumn("ordered", F.when(some, F.sort_array("grams")))
+    out = out.withColumn("again", again).withColumn("placed", F.when(~few, placed))
+    out = out.withColumn("places", F.when(few, looked_up).otherwise(merged))
     counted = F.coalesce(covered, F.lit(0).cast("long"))
-    return out.withColumn("n_repeat_words", counted).drop("grams", "placed", "again")
+    return out.withColumn("n_repeat_words", counted).drop(
+        "grams", "ordered", "again", "placed", "places"
+    )
 
 
 def base_rules(docs: DataFrame) -> DataFrame:
@@ -116,7 +123,7 @@ def base_rules(docs: DataFrame) -> DataFrame:
     return out.withColumns(
         {
             "n_dup_lines": (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long"),
-            "base_failed": settled(too_short | repeats),
+            "base_failed": too_short | repeats,
         }
     ).drop("lines", "words")
 
@@ -172,14 +179,17 @@ def judge(
     min_reference_words: int = MIN_REFERENCE_WORDS,
     max_class_distance: float = MAX_CLASS_DISTANCE,
     max_word_distance: float = MAX_WORD_DISTANCE,
+    drop: tuple[str, ...] = (),
 ) -> DataFrame:
-    """The given rows with counts, both distances, ``base_failed`` and ``kept``.
+    """The given rows, without the columns in ``drop``, with counts, both distances,
+    ``base_failed`` and ``kept``.
 
-    Texts are read twice, for the references and for the verdicts, and never shuffled: the
-    references have a row per language and are broadcast if they prove small.
+    Texts are read once and never shuffled: the counts are written, the references summed from
+    them, a row per language, and broadcast if they prove small.
     """
-    seen = materialize(references(base_rules(docs.select("lang", "text"))), "language-references")
-    out = base_rules(docs).join(
+    counted = materialize(base_rules(docs).drop(*drop), "counted-rules")
+    seen = materialize(references(counted), "language-references")
+    out = counted.join(
         broadcast_checked(seen), F.col("lang").eqNullSafe(F.col("ref_lang")), "left"
     )
     out = out.withColumns(
@@ -193,19 +203,20 @@ def judge(
             "word_distance": F.when(F.size("p_words") > 1, distance("p_words", "ref_words")),
         }
     )
-    far = (F.col("class_distance") > max_class_distance) | (
+    far = (F.coalesce(F.col("class_distance"), F.lit(0.0)) > max_class_distance) | (
         F.coalesce(F.col("word_distance"), F.lit(0.0)) > max_word_distance
     )
     judged = (F.col("n_words") >= min_words) & (F.col("ref_n_words") >= min_reference_words)
     rejected = F.coalesce(judged & far, F.lit(False))
-    return out.withColumn("kept", settled(~F.col("base_failed") & ~rejected)).drop(
+    return out.withColumn("kept", ~F.col("base_failed") & ~rejected).drop(
         "class_counts", "word_counts", "p_classes", "p_words",
         "ref_lang", "ref_n_words", "ref_classes", "ref_words",
     )
 
 
 def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
-    return judge(documents(table(spark, folder, "documents"), "lang")).select(
+    docs = documents(table(spark, folder, "documents"), "lang")
+    return judge(docs, drop=("text",)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept",
     )
