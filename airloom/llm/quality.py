@@ -34,9 +34,11 @@ FEW = 12
 #: Shortest document and reference, in words, that divergence judges.
 MIN_WORDS = 60
 MIN_REFERENCE_WORDS = 2000
-#: Largest accepted distances.
-MAX_CLASS_DISTANCE = 0.30
-MAX_WORD_DISTANCE = 0.45
+#: Largest accepted distances. A few words scatter more than many do: that of words is widened by
+#: WORD_NOISE over the square root of their number.
+MAX_CLASS_DISTANCE = 0.32
+MAX_WORD_DISTANCE = 0.19
+WORD_NOISE = 1.0
 
 
 def histograms(docs: DataFrame) -> DataFrame:
@@ -179,6 +181,7 @@ def judge(
     min_reference_words: int = MIN_REFERENCE_WORDS,
     max_class_distance: float = MAX_CLASS_DISTANCE,
     max_word_distance: float = MAX_WORD_DISTANCE,
+    word_noise: float = WORD_NOISE,
     drop: tuple[str, ...] = (),
 ) -> DataFrame:
     """The given rows, without the columns in ``drop``, with counts, both distances,
@@ -204,7 +207,8 @@ def judge(
         }
     )
     far = (F.coalesce(F.col("class_distance"), F.lit(0.0)) > max_class_distance) | (
-        F.coalesce(F.col("word_distance"), F.lit(0.0)) > max_word_distance
+        F.coalesce(F.col("word_distance"), F.lit(0.0))
+        > max_word_distance + F.lit(word_noise) / F.sqrt(F.greatest("n_words", F.lit(1)))
     )
     judged = (F.col("n_words") >= min_words) & (F.col("ref_n_words") >= min_reference_words)
     rejected = F.coalesce(judged & far, F.lit(False))
