@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from airloom.llm import chat, decontaminate, quality, secret_scan, token_counts
+from airloom.llm import chat, decontaminate, pieces, pii, quality, secret_scan, token_counts
 from airloom.llm.common import Query
 
 QUERIES: dict[str, Query] = {
     "op1_token_counts": token_counts.op1_token_counts,
     "op2_benchmark_decontamination": decontaminate.op2_benchmark_decontamination,
     "op3_chat_perspectives": chat.op3_chat_perspectives,
+    "op6_pii_bootstrap": pii.op6_pii_bootstrap,
+    "op8_sentencepiece": pieces.op8_sentencepiece,
     "op9_quality_rules": quality.op9_quality_rules,
     "op10_secret_scan": secret_scan.op10_secret_scan,
 }
