@@ -40,10 +40,10 @@ def texts() -> Column:
 
 
 def flat(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
-    """All bytes of a text column in a row, and where each text begins; nulls are empty."""
+    """All bytes of a text or binary column in a row, and where each begins; nulls are empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = pc.fill_null(column, "").cast(pa.large_string())
+    column = pc.fill_null(column.cast(pa.large_binary()), b"")
     _, offsets, data = column.buffers()
     at = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
     if data is None or not len(column):

@@ -58,8 +58,9 @@ def grams(hashes: np.ndarray, k: int) -> np.ndarray:
     return mixed(out + np.uint64(k))
 
 
-def byte_grams(data: np.ndarray, k: int) -> np.ndarray:
-    return grams(_BYTES[data], k)
+def byte_values(data: np.ndarray) -> np.ndarray:
+    """A hash for each byte."""
+    return _BYTES[data]
 
 
 def minimizers(hashes: np.ndarray, w: int) -> np.ndarray:

@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from airloom.llm import quality
+from airloom.llm import decontaminate, near_dedup, pieces, pii, quality
 from airloom.llm.common import materialize, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 STAGES: list[tuple[str, Stage]] = [
     ("quality_rules", quality.stage),
+    ("minhash_near_dedup", near_dedup.stage),
+    ("benchmark_decontamination", decontaminate.stage),
+    ("pii", pii.stage),
+    ("sentencepiece", pieces.stage),
 ]
 
 #: SQL can express neither hashing by bands nor token pieces; tests hold the stages to brute force.
