@@ -12,7 +12,7 @@ compared with its bucket's smallest. Buckets whose members are then not all conn
 ones with the pairs between their components, large ones in blocks of bounded size, where the
 estimates choose the best edges that would connect them, ``FORESTS`` times over; all candidates
 that are still between components follow. What was tried is not tried again. So no link is lost
-but for bands: a pair at the threshold has none in common once in 10^7.
+but for bands: a pair at 0.8 has none in common once in two million, at 0.85 in 10^9.
 
 Null texts and texts without words have no set and no links. A doc_id stands for one document;
 equal rows are linked to themselves and each get a row. An empty table gives no rows. Only doc_id
@@ -36,7 +36,10 @@ from airloom.session import broadcast_checked
 SHINGLE = 3
 #: Links are pairs with 100 * intersection >= PERCENT * union.
 PERCENT = 85
-BANDS = 24
+#: The pipeline's stage: longer shingles, a lower threshold.
+STAGE_SHINGLE = 5
+STAGE_PERCENT = 80
+BANDS = 28
 ROWS = 4
 BINS = 1024
 BITS = 2048
@@ -292,7 +295,8 @@ def op5_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """One document of each component: its smallest."""
-    copies = classes(docs).filter(F.col("doc_id") != F.col("component_id"))
+    found = classes(docs, STAGE_SHINGLE, STAGE_PERCENT)
+    copies = found.filter(F.col("doc_id") != F.col("component_id"))
     copies = broadcast_checked(materialize(copies.select("doc_id"), "copies"))
     return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
 
