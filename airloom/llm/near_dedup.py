@@ -120,11 +120,16 @@ def signatures(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     return documents(docs).mapInArrow(sign, SIGNATURE)
 
 
-def _similar(differing: Column, m: Column, n: Column) -> Column:
-    """Estimated similarity from the differing bits of two sketches of m and n samples."""
+def _similar(differing: Column, samples: Column, sizes: Column, near: float) -> Column:
+    """Estimated similarity, best where it is about ``near``, of two sketches.
+
+    ``samples`` and ``sizes`` are sums over both sets. The differing bits tell how many samples are
+    in one sketch only; a pair of similarity s has the same sample in a share s of the ranges that
+    hold any of the two sets, whose number follows from the size of their union.
+    """
     apart = F.when(2 * differing < BITS, -BITS / 2 * F.log(1 - 2 * differing / BITS))
-    common = (m + n - apart) / 2
-    return common / (m + n - common)
+    ranges = BINS * (1 - F.exp(-sizes / ((1 + near) * BINS)))
+    return (samples - apart) / 2 / ranges
 
 
 def _likely(pairs: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
@@ -132,7 +137,10 @@ def _likely(pairs: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
 
     def side(name: str) -> DataFrame:
         return sketches.select(
-            F.col("doc_id").alias(name), F.col("samples").alias(f"m_{name}"), F.col("sketch").alias(f"s_{name}")
+            F.col("doc_id").alias(name),
+            F.col("samples").alias(f"m_{name}"),
+            F.col("n_shingles").alias(f"n_{name}"),
+            F.col("sketch").alias(f"s_{name}"),
         )
 
     both = pairs.join(side("a"), "a").join(side("b"), "b")
@@ -140,7 +148,8 @@ def _likely(pairs: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
     differing = bits[0]
     for x in bits[1:]:
         differing = differing + x
-    return both.filter(_similar(differing, F.col("m_a"), F.col("m_b")) >= least).select("a", "b")
+    samples, sizes = F.col("m_a") + F.col("m_b"), F.col("n_a") + F.col("n_b")
+    return both.filter(_similar(differing, samples, sizes, least) >= least).select("a", "b")
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
@@ -182,12 +191,15 @@ def _pairs_of_small(members: DataFrame) -> DataFrame:
     return met.select(F.col("doc_id").alias("a"), F.col("y").alias("b")).distinct()
 
 
-def _estimates(x: np.ndarray, m: int, sketches: np.ndarray, samples: np.ndarray) -> np.ndarray:
-    differing = np.bitwise_count(sketches ^ x).sum(axis=1, dtype=np.int64)
+def _estimates(
+    x: np.ndarray, sketches: np.ndarray, samples: np.ndarray, sizes: np.ndarray, near: float
+) -> np.ndarray:
+    """The same of one sketch with many."""
+    # Counted unsigned: of negative numbers numpy counts the bits of their absolute value.
+    differing = np.bitwise_count((sketches ^ x).view(np.uint64)).sum(axis=1, dtype=np.int64)
     with np.errstate(divide="ignore", invalid="ignore"):
         apart = -BITS / 2 * np.log(1 - 2 * differing / BITS)
-        common = (samples + m - apart) / 2
-        out = common / (samples + m - common)
+        out = (samples - apart) / 2 / (BINS * (1 - np.exp(-sizes / ((1 + near) * BINS))))
     return np.where(2 * differing < BITS, out, 0.0)
 
 
@@ -196,7 +208,7 @@ def _pairs_of_large(members: DataFrame, sketches: DataFrame, least: float, every
 
     Unless ``every``, only those that connect the components, the most similar first.
     """
-    large = members.filter(F.col("size") > SMALL).join(sketches.select("doc_id", "samples", "sketch"), "doc_id")
+    large = members.filter(F.col("size") > SMALL).join(sketches, "doc_id")
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("doc_id"), blocks).cast("int")
     dealt = large.withColumn("own", own).withColumn("with", F.explode(F.sequence(F.lit(0), blocks - 1)))
@@ -205,19 +217,21 @@ def _pairs_of_large(members: DataFrame, sketches: DataFrame, least: float, every
     def choose(group: pa.Table) -> pa.Table:
         doc, label, own = (group[c].to_numpy() for c in ("doc_id", "label", "own"))
         bits = np.array(group["sketch"].to_pylist(), np.int64)
-        samples = group["samples"].to_numpy().astype(np.int64)
+        samples, sizes = (group[c].to_numpy().astype(np.int64) for c in ("samples", "n_shingles"))
         across = len(np.unique(own)) > 1
         found: list[tuple[float, int, int]] = []
         for k in range(len(doc)):
-            estimate = _estimates(bits[k], int(samples[k]), bits[k + 1 :], samples[k + 1 :])
-            ok = (estimate >= least) & (label[k + 1 :] != label[k])
+            after = slice(k + 1, None)
+            both = samples[k] + samples[after], sizes[k] + sizes[after]
+            estimate = _estimates(bits[k], bits[after], *both, least)
+            ok = (estimate >= least) & (label[after] != label[k])
             if across:
-                ok &= own[k + 1 :] != own[k]
+                ok &= own[after] != own[k]
             hits = np.flatnonzero(ok)
             if not every and len(hits):
                 # The best edge to each other component is enough for this round.
                 order = hits[np.argsort(-estimate[hits], kind="stable")]
-                hits = order[np.unique(label[k + 1 :][order], return_index=True)[1]]
+                hits = order[np.unique(label[after][order], return_index=True)[1]]
             found += [(float(estimate[h]), k, k + 1 + int(h)) for h in hits]
         parent = {x: x for x in np.unique(label).tolist()}
 
@@ -253,7 +267,7 @@ def classes(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Dat
     sets = signed.filter(F.col("n_shingles") > 0)
     equal = sets.groupBy("s1", "s2").agg(F.min("doc_id").alias("rep"))
     reps = sets.join(equal.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    sketches = materialize(reps.select("doc_id", "bands", "samples", "sketch"), "sketches")
+    sketches = materialize(reps.select("doc_id", "n_shingles", "bands", "samples", "sketch"), "sketches")
     crowded = materialize(_crowded(sketches), "crowded")
     sketches = sketches.drop("bands")
 
