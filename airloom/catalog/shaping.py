@@ -41,6 +41,7 @@ from airloom.operators.assemble import (
     station_at_rounded,
 )
 from airloom.operators.calendar import (
+    date_order,
     daily_mean,
     first_dates,
     from_first_date,
@@ -298,10 +299,8 @@ def q_date_text(spark, sf):
        from orders""",
 )
 def q_lexical_date_order(spark, sf):
-    d = F.col("o_orderdate")
-    # Month, day, year as one number sorts like the text and can be sliced.
-    key = F.month(d) * 1_000_000 + F.dayofmonth(d) * 10_000 + F.year(d)
-    orders = table(spark, sf, "orders").select("o_orderkey", key.alias("key"))
+    key = date_order("o_orderdate", lexical=True).alias("key")
+    orders = table(spark, sf, "orders").select("o_orderkey", key)
     return with_positions(orders, [], ["key", "o_orderkey"], "position").drop("key")
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,12 +12,14 @@ PRECIPITATION_SENTINEL = -0.0000000009313226
 
 def nan_to_null(df: DataFrame) -> DataFrame:
     """Every floating column with NaN replaced by null."""
-    floats = {
-        f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))
-    }
-    return df.select(
-        *[F.nanvl(df[c], F.lit(None)).alias(c) if c in floats else df[c] for c in df.columns]
-    )
+    return df.select(*[present(df, c).alias(c) for c in df.columns])
+
+
+def present(df: DataFrame, column: str) -> Column:
+    """A column's values, NaN as null where its type has NaN."""
+    kind = df.schema[column].dataType
+    c = F.col(f"`{column}`")
+    return F.nanvl(c, F.lit(None)) if isinstance(kind, (T.DoubleType, T.FloatType)) else c
 
 
 def sentinel_to_null(c: Column, sentinel: float = PRECIPITATION_SENTINEL) -> Column:
@@ -46,6 +46,3 @@ def other_columns(df: DataFrame) -> list[str]:
     numeric = set(numeric_columns(df))
     return [c for c in df.columns if c not in numeric]
 
-
-def without(names: Sequence[str], excluded: Sequence[str]) -> list[str]:
-    return [c for c in names if c not in set(excluded)]

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from airloom.functions.names import lookup_key
-from airloom.session import broadcast_checked, lookup_table
+from airloom.session import lookup_table
 
 # Columns dropped on the way, columns that lead the table, calendar columns.
 OCEAN_COLUMNS = [
@@ -87,7 +87,7 @@ def merge_sources(
     merged = left_merge(kept, weather, [key, date])
     merged = left_merge(merged, aerosol, [key, date])
     merged, calendar = _suffix_clashes(merged, calendar, [date])
-    return merged.join(broadcast_checked(calendar), [date], "left")
+    return merged.join(lookup_table(calendar, "calendar"), [date], "left")
 
 
 def dedup_dimension(
@@ -158,7 +158,7 @@ def station_at_exact(df: DataFrame, dimension: DataFrame) -> DataFrame:
         F.col("longitude").alias("__lon"), F.col("latitude").alias("__lat"), "station"
     )
     match = (df["Longitude"] == F.col("__lon")) & (df["Latitude"] == F.col("__lat"))
-    return df.join(broadcast_checked(places), match, "left").drop("__lon", "__lat")
+    return df.join(lookup_table(places, "places"), match, "left").drop("__lon", "__lat")
 
 
 def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from airloom.operators.ordered import MAX_GROUP_ROWS, with_positions
+from airloom.operators.ordered import with_positions
 
 # Fixed value: donors per missing value.
 DONORS = 5
@@ -27,7 +27,6 @@ def contiguous_blocks(
     order_by: Sequence[str],
     block_rows: int = BLOCK_ROWS,
     out: str = "block",
-    max_rows: int = MAX_GROUP_ROWS,
     rows: int | None = None,
 ) -> DataFrame:
     """Number the rows by ``order_by`` (``position``, from 0) and cut them into runs.
@@ -37,7 +36,7 @@ def contiguous_blocks(
     """
     rows = df.count() if rows is None else rows
     size, longer = divmod(rows, block_count(rows, block_rows))
-    placed = with_positions(df, [], order_by, "position", max_rows, rows)
+    placed = with_positions(df, [], order_by, "position")
     placed = placed.withColumn("position", F.col("position") - 1)
     edge = longer * (size + 1)
     block = F.when(
@@ -89,7 +88,6 @@ def knn_impute(
     order_by: Sequence[str],
     donors: int = DONORS,
     block_rows: int = BLOCK_ROWS,
-    max_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Fill missing cells of ``columns`` from the ``donors`` nearest rows in the row's block.
 
@@ -98,7 +96,7 @@ def knn_impute(
     as calendar indicators, are carried along untouched.
     """
     rows = df.count()
-    blocked = contiguous_blocks(df, order_by, block_rows, "__block", max_rows, rows)
+    blocked = contiguous_blocks(df, order_by, block_rows, "__block", rows)
     # Numbered names inside, since grouped pandas functions cannot read names with dots.
     inner = {c: f"c{i}" for i, c in enumerate(df.columns)}
     needed = [inner[c] for c in columns]

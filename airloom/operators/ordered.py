@@ -15,11 +15,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Rows one window task may sort, the most slices cut in one pass, and the most passes over
-# one sort column.
+from airloom.functions.cells import present
+from airloom.session import broadcast_checked, lookup_table, materialize
+
+# Rows one window task may sort, and the most slices cut in one pass.
 MAX_GROUP_ROWS = 5_000_000
 MAX_SLICES = 4096
-MAX_CUTS = 4
 
 _POSITION = "__position"
 
@@ -40,8 +41,15 @@ def _as_position(df: DataFrame, column: str) -> Column:
     with.
     """
     kind = df.schema[column].dataType
-    if isinstance(kind, _TIMES):
-        return F.unix_micros(F.col(column).cast("timestamp")).cast("double")
+    if isinstance(kind, T.TimestampNTZType):
+        # From its own parts: as an instant it would jump where the session's clock is changed.
+        c = F.col(column)
+        minutes = (F.unix_date(c.cast("date")) * 24 + F.hour(c)).cast("double") * 60 + F.minute(c)
+        return minutes * 60_000_000 + F.extract(F.lit("SECOND"), c).cast("double") * 1_000_000
+    if isinstance(kind, T.DateType):
+        return F.unix_date(column).cast("double")
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(column).cast("double")
     if isinstance(kind, T.StringType):
         tail = F.substring(F.col(column), F.col("__shared") + 1, F.lit(_TEXT_BYTES))
         start = F.substring(F.encode(tail, "UTF-8"), 1, _TEXT_BYTES)
@@ -107,7 +115,7 @@ def slice_hot_groups(
     value by the next sort column.
     """
     keys: list[str] = []
-    at, tries = 0, 0
+    at, left = 0, math.inf
     while at < len(order_by):
         column = order_by[at]
         if not _sliceable(df, column):
@@ -116,17 +124,20 @@ def slice_hot_groups(
         candidates = df.where(F.col(keys[0]) >= 0) if keys else df
         # At most rows / max_rows groups are too large, so this side stays small.
         large = _too_large(candidates, cut_keys, column, order_by[:at], max_rows)
+        large = materialize(large, "large-groups")
         hot = large.where("__cuttable").drop("__cuttable")
         hot_rows = hot.agg(F.sum("__rows")).first()[0]
-        if not hot_rows or tries == MAX_CUTS:
+        if not hot_rows:
             if not keys and not large.take(1):
                 break
-            at, tries = at + 1, 0
+            at, left = at + 1, math.inf
             continue
-        tries += 1
+        if hot_rows >= left:
+            raise RuntimeError(f"no cut along {column} makes this group smaller: {hot.first()}")
+        left = hot_rows
         parts = min(MAX_SLICES, math.ceil(hot_rows / max_rows) + 1)
         if cut_keys:
-            marked = df.join(F.broadcast(hot), cut_keys, "left")
+            marked = join_summary(df, hot, cut_keys, broadcast_checked)
         else:
             whole = hot.first()
             marked = df.withColumn("__rows", F.lit(hot_rows))
@@ -160,13 +171,17 @@ def _sorted_by(order_by: Sequence[str]) -> list[Column]:
     return [F.col(c).asc_nulls_first() for c in order_by]
 
 
+def _small_side(summary: DataFrame) -> DataFrame:
+    return lookup_table(summary, "slice-summary")
+
+
 def join_summary(
-    df: DataFrame, summary: DataFrame, keys: Sequence[str], hint=F.broadcast
+    df: DataFrame, summary: DataFrame, keys: Sequence[str], hint=_small_side
 ) -> DataFrame:
     """Attach summary rows, missing keys matching each other.
 
-    Slice summaries only have rows for slices of hot groups, about rows / max_rows, so they
-    are broadcast; others bring their own ``hint``.
+    Summaries of slices are written, and broadcast if they prove small; others bring their own
+    ``hint``.
     """
     named = [F.col(k).alias(f"__s_{k}") for k in keys]
     rest = [c for c in summary.columns if c not in keys]
@@ -175,21 +190,41 @@ def join_summary(
     return df.join(side, match, "left").drop(*[f"__s_{k}" for k in keys])
 
 
+def _positions_overall(df: DataFrame, order_by: Sequence[str], out: str) -> DataFrame:
+    """Row number over the whole frame, never in one task.
+
+    Rows are dealt by ranges of the sort columns, copies by their other values, and sorted and
+    counted within each range. What is added to a range's own numbers is the count of the ranges
+    before it; the driver gets one count per range.
+    """
+    ties = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    order = [*_sorted_by(order_by), ties]
+    dealt = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    # Range in the high bits, place within it in the lower 33.
+    placed = materialize(dealt.withColumn("__id", F.monotonically_increasing_id()), "placed")
+    part = F.shiftright("__id", 33)
+    sizes = placed.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect()
+    before, offsets = 0, []
+    for size in sorted(sizes):
+        offsets.append((size["part"], before))
+        before += size["n"]
+    side = df.sparkSession.createDataFrame(offsets, "__part long, __off long")
+    placed = placed.join(F.broadcast(side), part == F.col("__part"))
+    own = F.col("__id").bitwiseAND(F.lit((1 << 33) - 1))
+    return placed.withColumn(out, F.col("__off") + own + 1).drop("__id", "__part", "__off")
+
+
 def with_positions(
     df: DataFrame,
     group: Sequence[str],
     order_by: Sequence[str],
     out: str,
     max_rows: int = MAX_GROUP_ROWS,
-    rows: int | None = None,
 ) -> DataFrame:
-    """1-based row number within each group, over the whole frame if ``group`` is empty.
-
-    ``rows`` may give the known number of rows.
-    """
-    keys: list[str] = []
-    if rows is None or rows > max_rows:
-        df, keys = slice_hot_groups(df, group, order_by, max_rows)
+    """1-based row number within each group, over the whole frame if ``group`` is empty."""
+    if not group:
+        return _positions_overall(df, order_by, out)
+    df, keys = slice_hot_groups(df, group, order_by, max_rows)
     window = Window.partitionBy(*group, *keys).orderBy(*_sorted_by(order_by))
     numbered = df.withColumn(out, F.row_number().over(window).cast("long"))
     if not keys:
@@ -248,18 +283,19 @@ def trim_null_runs(
     """
     df, keys = slice_hot_groups(df, group, order_by, max_rows)
     window = Window.partitionBy(*group, *keys).orderBy(*_sorted_by(order_by))
+    there = present(df, column).isNotNull()
     if not keys:
-        missing = F.sum(F.col(column).isNull().cast("int"))
+        missing = F.sum((~there).cast("int"))
         in_frame = missing.over(window.rowsBetween(-(block_size - 1), 0))
         return df.withColumn("__missing", in_frame).where(
             F.col("__missing") < block_size
         ).drop("__missing")
 
     numbered = df.withColumn("__row", F.row_number().over(window).cast("long"))
-    present = F.when(F.col(column).isNotNull(), F.col("__row"))
+    seen = F.when(there, F.col("__row"))
     running = window.rowsBetween(Window.unboundedPreceding, 0)
     # Missing values since the last present one, counted from the start of the slice.
-    numbered = numbered.withColumn("__last", F.max(present).over(running))
+    numbered = numbered.withColumn("__last", F.max(seen).over(running))
     summary = (
         numbered.where(F.col(keys[0]) >= 0)
         .groupBy(*group, *keys)

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from airloom.functions.cells import present
 from airloom.session import lookup_table
 
 # How far coarse may exceed fine particles, and NOX the sum of its parts; empty
@@ -23,8 +24,8 @@ def measured_at(
     station: str = "station",
 ) -> DataFrame:
     """Rows of the stations that measure every pollutant in ``has`` and none in ``lacks``."""
-    counts = [F.count(f"`{c}`").alias(f"h{i}") for i, c in enumerate(has)]
-    counts += [F.count(f"`{c}`").alias(f"l{i}") for i, c in enumerate(lacks)]
+    counts = [F.count(present(df, c)).alias(f"h{i}") for i, c in enumerate(has)]
+    counts += [F.count(present(df, c)).alias(f"l{i}") for i, c in enumerate(lacks)]
     fits = F.lit(True)
     for i in range(len(has)):
         fits = fits & (F.col(f"h{i}") > 0)

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from airloom.functions.cells import present
 from airloom.operators.ordered import MAX_GROUP_ROWS, join_summary, slice_hot_groups
 from airloom.session import broadcast_checked, materialize
 
@@ -27,17 +28,18 @@ def value_ranks(
 ) -> DataFrame:
     """One row per distinct present value: ``n_value``, ``rank_first``, ``rank_last``, ``n``."""
     group = list(group)
-    present = df.where(F.col(value).isNotNull()).select(*group, value)
-    counts = present.groupBy(*group, value).agg(F.count(F.lit(1)).alias("n_value"))
+    counts = df.select(*group, present(df, value).alias(value)).where(F.col(value).isNotNull())
+    counts = counts.groupBy(*group, value).agg(F.count(F.lit(1)).alias("n_value"))
+    # Everything else follows from the counts, so the rows are read once.
+    counts = materialize(counts, "value-counts")
     sizes = materialize(
-        present.groupBy(*group).agg(
-            F.approx_count_distinct(value).alias("distinct"), F.count(F.lit(1)).alias("n")
+        counts.groupBy(*group).agg(
+            F.count(F.lit(1)).alias("distinct"), F.sum("n_value").alias("n")
         ),
         "group-sizes",
     )
     keys: list[str] = []
     if (sizes.agg(F.max("distinct")).first()[0] or 0) > max_rows:
-        counts = materialize(counts, "value-counts")
         counts, keys = slice_hot_groups(counts, group, [value], max_rows)
     running = Window.partitionBy(*group, *keys).orderBy(value)
     running = running.rowsBetween(Window.unboundedPreceding, 0)
@@ -90,8 +92,8 @@ def tail_cuts(
     max_rows: int = MAX_GROUP_ROWS,
 ) -> dict[str, tuple[float | None, float | None]]:
     """Per column the largest value cut at the low end and the smallest cut at the high end."""
-    present = [c for c in columns if c in df.columns]
-    long = df.select(*[F.col(f"`{c}`").cast("double").alias(f"v{i}") for i, c in enumerate(present)])
+    there = [c for c in columns if c in df.columns]
+    long = df.select(*[F.col(f"`{c}`").cast("double").alias(f"v{i}") for i, c in enumerate(there)])
     long = long.unpivot([], long.columns, "column", "value")
     points = ecdf_points(long, "value", ["column"], max_rows)
     cuts = points.groupBy("column").agg(
@@ -100,7 +102,7 @@ def tail_cuts(
     )
     # One row per pruned column.
     found = {row["column"]: (row["low"], row["high"]) for row in cuts.collect()}
-    return {c: found.get(f"v{i}", (None, None)) for i, c in enumerate(present)}
+    return {c: found.get(f"v{i}", (None, None)) for i, c in enumerate(there)}
 
 
 def prune_tails(
@@ -114,7 +116,7 @@ def prune_tails(
     The cut is by value, so all copies of a cut value go.
     """
     for name, (low, high) in tail_cuts(df, columns, share, max_rows).items():
-        c = F.col(f"`{name}`")
+        c = present(df, name)
         outside = F.lit(False)
         if low is not None:
             outside = outside | (c <= low)

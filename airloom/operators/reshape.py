@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from airloom.functions.cells import present
 from airloom.functions.names import pollutant_name
 from airloom.session import lookup_table
 
@@ -44,7 +45,8 @@ def crosstab(
     """
     names = dict(variables) if isinstance(variables, Mapping) else {v: v for v in variables}
     cells = [
-        F.max(F.when(F.col(variable) == v, F.col(value))).alias(name) for v, name in names.items()
+        F.max(F.when(F.col(variable) == v, present(df, value))).alias(name)
+        for v, name in names.items()
     ]
     return df.groupBy(*keys).agg(*cells)
 
@@ -68,27 +70,16 @@ def unpivot_stations(
         else:
             pollutant = name
         owners[name] = (owner, pollutant)
-    narrow = df.select(
-        F.col(date), *[F.col(f"`{c}`").cast("string").alias(f"c{i}") for i, c in enumerate(owners)]
-    )
-    long = narrow.unpivot([date], narrow.columns[1:], "__column", "value")
-    labels = F.create_map(
-        *[
-            part
-            for i, (station, pollutant) in enumerate(owners.values())
-            for part in (
-                F.lit(f"c{i}"),
-                F.struct(F.lit(station).alias("station"), F.lit(pollutant).alias("pollutant")),
-            )
-        ]
-    )
-    label = labels[F.col("__column")]
-    return long.select(
-        label["station"].alias("station"),
-        date,
-        pollutant_name(label["pollutant"]).alias("pollutant"),
-        "value",
-    )
+    # Names go along as literals, normalised once, so a row costs its cells and no lookups.
+    cells = [
+        F.struct(
+            F.lit(station).cast("string").alias("station"),
+            pollutant_name(F.lit(pollutant)).alias("pollutant"),
+            F.col(f"`{c}`").cast("string").alias("value"),
+        )
+        for c, (station, pollutant) in owners.items()
+    ]
+    return df.select(date, F.inline(F.array(*cells))).select("station", date, "pollutant", "value")
 
 
 def drop_flat_series(
@@ -97,7 +88,7 @@ def drop_flat_series(
     """Keep series with at least two distinct values, which also drops all-missing ones."""
     varied = (
         df.groupBy(*group)
-        .agg(F.min(value).alias("low"), F.max(value).alias("high"))
+        .agg(F.min(present(df, value)).alias("low"), F.max(present(df, value)).alias("high"))
         .where("low < high")
         .select(*group)
     )

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, Window
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Share of the summed squares that subtraction may leave by rounding.
-NOISE = 1e-13
-
 Scale = dict[str, tuple[float, float]]
 
 
@@ -43,57 +43,63 @@ def unscaled(value: Column, column: str, scale: Scale) -> Column:
     return value * F.lit(deviation) + F.lit(mean)
 
 
+# Number, mean, summed squared deviations, smallest and largest of a set of values.
+Moments = tuple[int, float, float, float, float]
+_NOTHING: Moments = (0, 0.0, 0.0, math.inf, -math.inf)
+
+
+def _merged(a: Moments, b: Moments) -> Moments:
+    """Moments of two sets together; nothing is subtracted that could cancel."""
+    n = a[0] + b[0]
+    if not a[0] or not b[0]:
+        return a if a[0] else b
+    gap = b[1] - a[1]
+    mean = a[1] + gap * (b[0] / n)
+    return n, mean, a[2] + b[2] + gap * gap * (a[0] / n * b[0]), min(a[3], b[3]), max(a[4], b[4])
+
+
+def _rests(parts: pd.DataFrame) -> pd.DataFrame:
+    """Moments of all other folds for each fold: those before it merged with those after it."""
+    rows = list(zip(parts["n"], parts["m"], parts["q"], parts["lo"], parts["hi"], strict=True))
+    rows = [r if r[0] else _NOTHING for r in rows]
+    before = [_NOTHING, *accumulate(rows[:-1], _merged)]
+    after = [_NOTHING, *accumulate(rows[:0:-1], _merged)][::-1]
+    rest = [_merged(a, b) for a, b in zip(before, after, strict=True)]
+    out = parts.drop(columns=["n", "m", "q", "lo", "hi"])
+    out["train_n"] = [r[0] for r in rest]
+    out["train_mean"] = [r[1] for r in rest]
+    # A column is constant if its smallest value is its largest.
+    out["train_std"] = [math.sqrt(r[2] / r[0]) if r[3] < r[4] else 1.0 for r in rest]
+    return out[out["train_n"] > 0]
+
+
 def fold_scales(df: DataFrame, fold: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """Per fold and column, mean and deviation of all rows outside the fold.
 
-    Rows are read once. The statistics of the rest follow from those of the whole and of the
-    fold: central moments merge, so they also separate. Folds that hold every row are left
-    out. Columns: fold, ``column``, ``train_n``, ``train_mean``, ``train_std``.
+    Rows are read once, for the moments of every fold and column; then one row per fold is merged
+    into the moments of the rest, in fold order. Folds that hold every row are left out. Columns:
+    fold, ``column``, ``train_n``, ``train_mean``, ``train_std``.
     """
     fold = list(fold)
-    cells = [F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(columns)]
     stats = []
-    for i in range(len(columns)):
-        stats += [
-            F.count(f"c{i}").alias(f"n{i}"),
-            F.avg(f"c{i}").alias(f"m{i}"),
-            (F.var_pop(f"c{i}") * F.count(f"c{i}")).alias(f"q{i}"),
-        ]
-    parts = df.select(*fold, *cells).groupBy(*fold).agg(*stats)
-    series = F.inline(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(c).alias("column"),
-                    F.col(f"n{i}").alias("n"),
-                    F.coalesce(f"m{i}", F.lit(0.0)).alias("m"),
-                    F.coalesce(f"q{i}", F.lit(0.0)).alias("q"),
-                )
-                for i, c in enumerate(columns)
-            ]
+    for i, c in enumerate(columns):
+        cell = F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None))
+        stats.append(
+            F.struct(
+                F.lit(c).alias("column"),
+                F.count(cell).alias("n"),
+                F.coalesce(F.avg(cell), F.lit(0.0)).alias("m"),
+                F.coalesce(F.var_pop(cell) * F.count(cell), F.lit(0.0)).alias("q"),
+                F.coalesce(F.min(cell), F.lit(math.inf)).alias("lo"),
+                F.coalesce(F.max(cell), F.lit(-math.inf)).alias("hi"),
+            ).alias(f"s{i}")
         )
-    )
-    parts = parts.select(*fold, series)
-    # Merging two sets adds n1*n2/(n1+n2)*(m1-m2)**2 to their summed squares; over all folds
-    # that is the spread of the fold means about the common mean. One row per fold here.
-    folds = Window.partitionBy("column")
-    weighted = F.sum(F.col("n") * F.col("m")).over(folds)
-    out = parts.withColumn("all_n", F.sum("n").over(folds)).withColumn(
-        "all_m", F.try_divide(weighted, F.col("all_n"))
-    )
-    spread = F.col("q") + F.col("n") * (F.col("m") - F.col("all_m")) ** 2
-    out = out.withColumn("all_q", F.sum(spread).over(folds))
-    rest = F.col("all_n") - F.col("n")
-    out = out.where(rest > 0)
-    mean = (F.col("all_n") * F.col("all_m") - F.col("n") * F.col("m")) / rest
-    square = F.col("all_q") - F.col("q") - F.col("n") * rest / F.col("all_n") * (F.col("m") - mean) ** 2
-    # What rounding alone leaves of a constant column counts as no spread.
-    noise = F.col("all_q") * NOISE + rest * (mean * NOISE) ** 2
-    deviation = F.when(square > noise, F.sqrt(square / rest)).otherwise(F.lit(1.0))
-    return out.select(
-        *fold,
-        "column",
-        rest.alias("train_n"),
-        mean.alias("train_mean"),
-        deviation.alias("train_std"),
-    )
+    folds = df.groupBy(*fold).agg(*stats)
+    parts = folds.select(*fold, F.inline(F.array(*[f"s{i}" for i in range(len(stats))])))
+    kinds = [f"`{c}` {df.schema[c].dataType.simpleString()}" for c in fold]
+    schema = ", ".join([*kinds, "column string, train_n long, train_mean double, train_std double"])
+
+    def merge(parts: pd.DataFrame) -> pd.DataFrame:
+        return _rests(parts.sort_values(fold, kind="stable"))
+
+    return parts.groupBy("column").applyInPandas(merge, schema)

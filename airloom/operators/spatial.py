@@ -15,19 +15,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from airloom.functions.weather import squared_distance
-from airloom.session import broadcast_checked, materialize
+from airloom.session import lookup_table, materialize
 
 # Fixed value: neighbours per station.
 NEIGHBOURS = 4
 
-# Neighbour rows that may be broadcast; three short columns each.
-NEIGHBOUR_ROWS = 2_000_000
-
 # Cells a tile of the last level should hold at most, and the deepest level tried.
 TILE_CELLS = 64
 MAX_LEVEL = 12
-# Parts the station list is dealt into when every granule needs every station.
-STATION_PARTS = 32
+# Stations that meet the tiles of the first level in one part.
+PART_STATIONS = 2000
 
 
 def _tile(value: Column, origin: float, side: float, level: int) -> Column:
@@ -124,18 +121,15 @@ def nearest_cells(
         F.col("latitude").cast("double").alias("slat"),
         F.col("longitude").cast("double").alias("slon"),
     )
-    held = points
-    if by:
-        # The answer has rows for every granule and station; deal the stations into parts
-        # so that the pairing is an even equi-join.
-        part = F.pmod(F.xxhash64("station"), F.lit(STATION_PARTS))
-        roots = tiles.where("level = 0").select(
-            *by, F.explode(F.sequence(F.lit(0), F.lit(STATION_PARTS - 1))).alias("part")
-        )
-        held = roots.join(
-            broadcast_checked(points.withColumn("part", part.cast("int"))), "part"
-        ).drop("part")
-    held = held.withColumn("py", F.lit(0).cast("long")).withColumn("px", F.lit(0).cast("long"))
+    # Every station meets the root tile, of every granule. Stations are dealt into parts and the
+    # few tiles of the first levels repeated for each, so that the pairing is an even equi-join.
+    parts = max(1, math.ceil(points.count() / PART_STATIONS))
+    every = F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part")
+    part = F.pmod(F.xxhash64("station"), F.lit(parts)).cast("int")
+    roots = tiles.where("level = 0").select(
+        *by, F.col("ty").alias("py"), F.col("tx").alias("px"), every
+    )
+    held = roots.join(points.withColumn("part", part), "part")
     held = held.withColumn("bound", F.lit(math.inf))
 
     for z in range(1, level + 1):
@@ -144,7 +138,10 @@ def nearest_cells(
             F.expr("ty div 4").alias("py"),
             F.expr("tx div 4").alias("px"),
         )
-        met = held.join(here, [*by, "py", "px"]).drop("py", "px")
+        keys = [*by, "py", "px"]
+        if z == 1:
+            here, keys = here.select("*", every), [*keys, "part"]
+        met = held.join(here, keys).drop(*keys[len(by) :])
         dy, dx = _gap(F.col("slat"), F.col("s"), F.col("n")), _gap(F.col("slon"), F.col("w"), F.col("e"))
         ry, rx = _reach(F.col("slat"), F.col("s"), F.col("n")), _reach(F.col("slon"), F.col("w"), F.col("e"))
         met = met.withColumn("near", dy * dy + dx * dx).withColumn("far", ry * ry + rx * rx)
@@ -181,31 +178,33 @@ def interpolate(
     keys: Sequence[str],
     k: int = NEIGHBOURS,
     exact: str = "null",
+    written: bool = False,
 ) -> DataFrame:
     """Inverse-distance weighted mean of each station's ``k`` cells per ``keys``.
 
     ``observations`` has ``cell_id``, ``value`` and ``keys`` (time, variable, ...); a granule
     column among the neighbours joins too. The mean is null unless all ``k`` cells have a
     value. A station on a cell has no finite weight: null, or that cell's value with
-    ``exact="take"``.
+    ``exact="take"``. ``written`` says that the neighbours are a lookup table already.
     """
     shared = [c for c in neighbours.columns if c in observations.columns]
-    near = broadcast_checked(neighbours.select(*shared, "station", "d2"), NEIGHBOUR_ROWS)
-    weight = F.try_divide(F.lit(1.0), F.sqrt("d2"))
+    near = neighbours.select(*shared, "station", "d2", "rank")
+    near = near if written else lookup_table(near, "neighbours")
     value = F.nanvl(F.col("value").cast("double"), F.lit(None))
     joined = observations.join(near, shared).select(
-        "station", *keys, "d2", weight.alias("w"), value.alias("v")
+        "station", *keys, "d2", "rank", value.alias("v")
     )
+    # A cell's value is the largest of its observations, so one reported twice counts once.
+    ranks = range(1, k + 1)
     grouped = joined.groupBy("station", *keys).agg(
-        F.sum(F.col("w") * F.col("v")).alias("wv"),
-        F.sum("w").alias("ws"),
-        F.count("v").alias("present"),
-        F.min("d2").alias("closest"),
-        F.min_by("v", F.struct("d2", "v")).alias("on_cell"),
-    )
-    mean = F.when(
-        (F.col("present") == k) & (F.col("closest") > 0), F.try_divide(F.col("wv"), F.col("ws"))
+        *[F.max(F.when(F.col("rank") == i, F.col("v"))).alias(f"v{i}") for i in ranks],
+        *[F.max(F.when(F.col("rank") == i, F.col("d2"))).alias(f"d{i}") for i in ranks],
     )
+    weights = {i: F.try_divide(F.lit(1.0), F.sqrt(f"d{i}")) for i in ranks}
+    total = sum((weights[i] * F.col(f"v{i}") for i in ranks), F.lit(0.0))
+    mean = F.try_divide(total, sum(weights.values(), F.lit(0.0)))
     if exact == "take":
-        mean = F.when(F.col("closest") == 0, F.col("on_cell")).otherwise(mean)
+        at_cell = F.col("d1") == 0
+        on_cell = F.coalesce(*[F.when(F.col(f"d{i}") == 0, F.col(f"v{i}")) for i in ranks])
+        mean = F.when(at_cell, on_cell).otherwise(mean)
     return grouped.select("station", *keys, mean.alias("value"))

@@ -11,7 +11,7 @@ from airloom.functions.dates import to_local
 from airloom.operators.calendar import daily_mean, within_period
 from airloom.operators.reshape import crosstab
 from airloom.operators.spatial import interpolate, nearest_cells
-from airloom.session import materialize
+from airloom.session import lookup_table
 
 
 def station_series(
@@ -26,8 +26,8 @@ def station_series(
     The neighbour table is computed once per grid and written, then reused for every time
     step and variable.
     """
-    near = materialize(nearest_cells(cells, stations, by=by), "neighbours")
-    series = interpolate(observations, near, [*by, time, "variable"])
+    near = lookup_table(nearest_cells(cells, stations, by=by), "neighbours")
+    series = interpolate(observations, near, [*by, time, "variable"], written=True)
     return series.select("station", F.col(time).alias("date"), "variable", "value")
 
 

@@ -5,11 +5,12 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# A dimension of at most this many rows may be broadcast.
-BROADCAST_ROWS = 200_000
+# A table of at most so many bytes may be broadcast.
+BROADCAST_BYTES = 32_000_000
 
 
 def local_session(app: str = "airloom", cores: str = "*", partitions: int = 8) -> SparkSession:
@@ -58,16 +59,32 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def broadcast_checked(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint if the frame is shown to hold at most ``max_rows`` rows.
+def _row_bytes(df: DataFrame) -> Column:
+    """About the bytes a row takes in memory: eight a column, and what texts and nested values
+    hold."""
+    total = F.lit(8 * len(df.columns) + 16)
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            total = total + F.coalesce(F.octet_length(c), F.lit(0))
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            total = total + F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0))
+    return total
 
-    Larger frames come back unhinted: Spark then shuffles the join and splits skewed keys.
+
+def broadcast_checked(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Broadcast hint if the frame is shown to hold at most ``max_bytes``.
+
+    It is read for that, so it should be a table. Larger frames come back unhinted: Spark then
+    shuffles the join and splits skewed keys.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
+    least = 8 * len(df.columns) + 16
+    sizes = df.limit(max_bytes // least + 1).select(_row_bytes(df).alias("b"))
+    if (sizes.agg(F.sum("b")).first()[0] or 0) <= max_bytes:
         return F.broadcast(df)
     return df
 
 
-def lookup_table(df: DataFrame, name: str, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+def lookup_table(df: DataFrame, name: str, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """A derived join side, computed once, then broadcast if its size allows."""
-    return broadcast_checked(materialize(df, name), max_rows)
+    return broadcast_checked(materialize(df, name), max_bytes)

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from airloom.functions.cells import nan_to_null
 from airloom.functions.names import file_stem
 from airloom.operators.calendar import parse_dates
 
@@ -26,7 +27,7 @@ def read_tree(
     reader = reader.option("pathGlobFilter", pattern or f"*.{file_format}")
     if file_format == "csv":
         reader = reader.option("header", True)
-    return reader.load(folder).select("*", F.col("_metadata.file_path").alias("path"))
+    return nan_to_null(reader.load(folder).select("*", F.col("_metadata.file_path").alias("path")))
 
 
 def _entry_below(path: Column, folder: str) -> Column:
@@ -46,14 +47,14 @@ def read_station_files(
     named = reader.load(folder).select(
         file_stem(_entry_below(F.col("_metadata.file_path"), folder)).alias("station"), "*"
     )
-    return parse_dates(named)
+    return parse_dates(nan_to_null(named))
 
 
 def read_combined(spark: SparkSession, folder: str) -> DataFrame:
     """All rows of a folder's files. Column names are stripped, and columns a file lacks
     are null."""
     reader = spark.read.option("mergeSchema", True).option("recursiveFileLookup", True)
-    found = reader.parquet(folder)
+    found = nan_to_null(reader.parquet(folder))
     same: dict[str, list[Column]] = {}
     for c in found.columns:
         same.setdefault(c.strip(), []).append(found[f"`{c}`"])

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from airloom.functions.cells import nan_to_null
 from airloom.functions.dates import granule_date
 from airloom.functions.names import station_key
 from airloom.operators.assemble import dedup_dimension
@@ -33,7 +34,9 @@ def with_coordinates(df: DataFrame) -> DataFrame | None:
 def grid_observations(df: DataFrame) -> DataFrame:
     """Regular grid: every variable and time step, named by its long name if it has one."""
     name = F.coalesce("long_name", "variable")
-    return df.select("time", "cell_id", "lat", "lon", name.alias("variable"), "value")
+    return nan_to_null(
+        df.select("time", "cell_id", "lat", "lon", name.alias("variable"), "value")
+    )
 
 
 def granule_observations(
@@ -46,7 +49,8 @@ def granule_observations(
     Files without a date in their path and cells without coordinates are left out.
     """
     return (
-        df.where(F.col("variable").isin(*variables))
+        nan_to_null(df)
+        .where(F.col("variable").isin(*variables))
         .where("lat is not null and lon is not null")
         .withColumn("date", granule_date(path))
         .where("date is not null")
@@ -58,7 +62,7 @@ def read_stations(spark: SparkSession, path: str, file_format: str = "csv") -> D
     reader = spark.read.format(file_format)
     if file_format == "csv":
         reader = reader.option("header", True)
-    found = reader.load(path)
+    found = nan_to_null(reader.load(path))
     return found.select(
         F.col("station").cast("string").alias("station"),
         F.col("latitude").cast("double").alias("latitude"),

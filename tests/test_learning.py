@@ -58,12 +58,11 @@ def test_impute_in_blocks(spark):
     cells = _holey(np.random.default_rng(7), 97, 3, 0.3)
     data = [(i, "keep", *r) for i, r in enumerate(cells)]
     frame = spark.createDataFrame(data, "id int, label string, `PM2.5` double, b double, c double")
-    for max_rows in (30, 10**6):
-        got = rows(knn_impute(frame.repartition(5), ["PM2.5", "b", "c"], ["id"], 5, 20, max_rows), "id")
-        blocks = np.array_split(np.arange(97), 97 // 20)
-        wanted = [r for b in blocks for r in _fill_by_hand([cells[i] for i in b], 5)]
-        assert [r[:2] for r in got] == [(i, "keep") for i in range(97)]
-        assert np.allclose([r[2:] for r in got], wanted)
+    got = rows(knn_impute(frame.repartition(5), ["PM2.5", "b", "c"], ["id"], 5, 20), "id")
+    blocks = np.array_split(np.arange(97), 97 // 20)
+    wanted = [r for b in blocks for r in _fill_by_hand([cells[i] for i in b], 5)]
+    assert [r[:2] for r in got] == [(i, "keep") for i in range(97)]
+    assert np.allclose([r[2:] for r in got], wanted)
 
 
 def test_impute_edges():
@@ -78,7 +77,7 @@ def test_impute_edges():
 
 def test_blocks_like_even_cuts(spark):
     frame = spark.range(53)
-    got = contiguous_blocks(frame.withColumn("k", -F.col("id")), ["k"], 10, "block", 9)
+    got = contiguous_blocks(frame.withColumn("k", -F.col("id")), ["k"], 10, "block")
     sizes = [r[1] for r in rows(got.groupBy("block").count(), "block")]
     assert sizes == [len(b) for b in np.array_split(np.arange(53), 5)]
 
@@ -211,7 +210,21 @@ def test_station_files_by_plain_name(spark, tmp_path):
 
 def test_broadcast_only_within_bound(spark):
     small = spark.range(5)
-    plan = spark.range(100).join(broadcast_checked(small, 4), "id")._jdf.queryExecution().analyzed().toString()
+    plan = spark.range(100).join(broadcast_checked(small, 100), "id")._jdf.queryExecution().analyzed().toString()
     assert "broadcast" not in plan.lower()
-    plan = spark.range(100).join(broadcast_checked(small, 5), "id")._jdf.queryExecution().analyzed().toString()
+    plan = spark.range(100).join(broadcast_checked(small, 120), "id")._jdf.queryExecution().analyzed().toString()
     assert "broadcast" in plan.lower()
+
+
+def test_fold_scales_with_a_dominating_fold(spark):
+    """The rest's deviation survives a fold whose values are far larger."""
+    rng = np.random.default_rng(4)
+    small = rng.normal(3.0, 0.7, 50)
+    data = [(0, float(v)) for v in small] + [(1, float(v)) for v in rng.normal(1e9, 1e8, 5000)]
+    data += [(2, 5.0)] * 3 + [(2, float("nan")), (None, 4.0)]
+    frame = spark.createDataFrame(data, "fold int, x double")
+    got = {r["fold"]: r for r in fold_scales(frame, ["fold"], ["x"]).collect()}
+    rest = np.array([*small, 5.0, 5.0, 5.0, 4.0])
+    assert got[1]["train_n"] == 54
+    assert np.isclose(got[1]["train_mean"], rest.mean()) and np.isclose(got[1]["train_std"], rest.std())
+    assert set(got) == {0, 1, 2, None}

@@ -176,3 +176,48 @@ def test_ranks_and_percentiles(spark, max_rows):
     assert np.isclose(whole["p50"], local["v"].median())
     points = ecdf_points(frame, "v", ["g"], max_rows).where("ecdf = 1")
     assert points.count() == 2
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_clock_change_does_not_reorder(spark):
+    """Zone-less times are cut by their own parts, also where the session's clock jumps."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        minutes = spark.range(300).select(
+            F.expr("timestamp_ntz '2024-03-10 00:00:00' + make_dt_interval(0, 0, id, 0)").alias("t"),
+            F.lit(1).alias("g"),
+            (F.col("id") + 1).alias("wanted"),
+        )
+        got = with_positions(minutes, ["g"], ["t"], "n", 20)
+        assert got.where("n <> wanted").count() == 0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_hot_null_group_is_sliced(spark):
+    frame = spark.range(200).select(F.lit(None).cast("string").alias("station"), F.col("id"))
+    sliced, keys = slice_hot_groups(frame, ["station"], ["id"], 50)
+    assert sliced.groupBy(*keys).count().agg(F.max("count")).first()[0] <= 100
+    got = with_positions(frame, ["station"], ["id"], "n", 50)
+    assert got.where("n <> id + 1").count() == 0
+
+
+def test_overall_positions_use_many_tasks(spark):
+    frame = spark.range(5000).select((F.col("id") % 7).alias("k"), "id")
+    got = with_positions(frame, [], ["k", "id"], "n")
+    assert "SinglePartition" not in _plan(got)
+    assert [r["id"] for r in got.orderBy("n").collect()] == sorted(range(5000), key=lambda i: (i % 7, i))
+    assert with_positions(frame.limit(0), [], ["id"], "n").count() == 0
+
+
+def test_nan_is_missing(spark):
+    nan = float("nan")
+    frame = spark.createDataFrame([(1, i, nan) for i in range(20)], "g int, t int, v double")
+    assert trim_null_runs(frame, "v", ["g"], ["t"]).count() == 9
+    values = [(float(i),) for i in range(1, 100)] + [(nan,)] * 5
+    pruned = prune_tails(spark.createDataFrame(values, "PM10 double"), ["PM10"])
+    assert sorted(r[0] for r in pruned.where("PM10 is not null").collect()) == [float(i) for i in range(1, 99)]

@@ -100,3 +100,26 @@ def test_fewer_cells_than_neighbours(spark):
     assert near.count() == 2
     values = spark.createDataFrame([(1, 1, 5.0), (2, 1, 6.0)], "cell_id long, time int, value double")
     assert [r["value"] for r in interpolate(values, near, ["time"]).collect()] == [None]
+
+
+def test_repeated_observation_counts_once(spark):
+    cells = [(1, 0.0, 0.0), (2, 0.0, 1.0), (3, 1.0, 0.0), (4, 1.0, 1.0)]
+    near = nearest_cells(*_frames(spark, cells, [("s", 0.5, 0.5)]))
+    data = [(i, 1, float(i)) for i in range(1, 5)] + [(1, 1, 0.5), (1, 1, 1.0)]
+    values = spark.createDataFrame(data, "cell_id long, time int, value double")
+    (row,) = interpolate(values, near, ["time"]).collect()
+    assert np.isclose(row["value"], 2.5)
+
+
+def test_no_cross_join(spark):
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        cells = [(i, float(i % 40), float(i // 40)) for i in range(1600)]
+        stations = [(f"s{i}", i * 0.7, i * 0.3) for i in range(40)]
+        near = nearest_cells(*_frames(spark, cells, stations), tile_cells=8)
+        near.collect()
+        plan = near._jdf.queryExecution().executedPlan().toString()
+        assert "NestedLoop" not in plan and "Cartesian" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
