@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import functions as F
 
 from airloom.catalog.base import GAPPY_SQL, gappy, observations, query, r6, table
@@ -325,14 +328,17 @@ def q_analysed_columns(spark, sf):
 
 @query(
     "column_kinds",
-    """select count(*) as rows, count(l_shipdate) as others, count(l_tax) as numbers from lineitem""",
+    """select count(*) as rows, count(l_returnflag) + count(l_linestatus) + count(l_shipdate) as others,
+              count(l_orderkey) + count(l_partkey) + count(l_suppkey) + count(l_linenumber)
+              + count(l_quantity) + count(l_extendedprice) + count(l_discount) + count(l_tax) as numbers
+       from lineitem""",
 )
 def q_column_kinds(spark, sf):
     lines = table(spark, sf, "lineitem")
-    others, numbers = other_columns(lines), numeric_columns(lines)
+    cells = {"others": other_columns(lines), "numbers": numeric_columns(lines)}
     return lines.agg(
-        F.count(F.lit(1)).alias("rows"), F.count(others[-1]).alias("others"),
-        F.count(numbers[-1]).alias("numbers"),
+        F.count(F.lit(1)).alias("rows"),
+        *[reduce(add, [F.count(c) for c in names]).alias(kind) for kind, names in cells.items()],
     )
 
 

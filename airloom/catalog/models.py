@@ -16,7 +16,7 @@ from airloom.operators.metrics import (
 )
 from airloom.operators.scaling import apply_scale, fit_scale, fold_scales, unscaled
 from airloom.operators.splits import (
-    hold_out,
+    fold_sizes,
     k_folds,
     random_split,
     rows_not_in,
@@ -99,17 +99,7 @@ def q_k_folds(spark, sf):
 )
 def q_leave_one_year_out(spark, sf):
     years = table(spark, sf, "lineitem").select(F.year("l_shipdate").alias("year"))
-    # Years of the period, a handful.
-    folds = [r["year"] for r in years.distinct().orderBy("year").collect()]
-    out = None
-    for y in folds:
-        train, test = hold_out(years, "year", y)
-        for part, is_test in ((train, False), (test, True)):
-            row = part.groupBy(F.lit(y).cast("long").alias("fold"), F.lit(is_test).alias("is_test")).agg(
-                F.count(F.lit(1)).alias("rows")
-            )
-            out = row if out is None else out.unionByName(row)
-    return out
+    return fold_sizes(years.select(F.col("year").cast("long").alias("fold")), "fold")
 
 
 @query(
@@ -170,19 +160,19 @@ def _scored(spark, sf):
     return observations(spark, sf).withColumn("predicted", F.col("value") * 0.9 + 1)
 
 
-_SCORES_SQL = """count(*) as n, sqrt(avg((y - p) * (y - p))) as rmse,
+SCORES_SQL = """count(*) as n, sqrt(avg((y - p) * (y - p))) as rmse,
     avg(abs(y - p) / greatest(abs(y), 2.220446049250313e-16)) as mape,
     avg(case when previous is not null then abs(y - p) end) / nullif(avg(abs(y - previous)), 0) as mase,
     case when count(*) > 1 then case when var_pop(y) > 0
       then 1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)) else 0 end end as r2"""
-_Y_SQL = "value as y, value * 0.9::double + 1 as p"
+Y_SQL = "value as y, value * 0.9::double + 1 as p"
 
 
 @query(
     "group_scores",
-    f"""with s as (select user_id as station, {_Y_SQL},
+    f"""with s as (select user_id as station, {Y_SQL},
                           lag(value) over (partition by user_id order by ts, event_id) as previous from events),
-        g as (select station, {_SCORES_SQL} from s group by 1)
+        g as (select station, {SCORES_SQL} from s group by 1)
         select station, n, round(rmse, 6) as "RMSE", round(mape * 100, 6) as "MAPE", round(mase, 6) as "MASE",
                round(r2, 6) as "R2", n < 5 as small_group, r2 < 0 as negative_r2 from g""",
 )
@@ -196,7 +186,7 @@ def q_group_scores(spark, sf):
     )
 
 
-def _long_scores(source: str, label: str) -> str:
+def long_scores(source: str, label: str) -> str:
     return " union all ".join(
         f"""select {label} as station, '{m}' as "Metric", round({m.lower()}, 6) as "Value" from {source}"""
         for m in ("RMSE", "MAPE", "MASE", "R2")
@@ -205,12 +195,12 @@ def _long_scores(source: str, label: str) -> str:
 
 @query(
     "score_table",
-    f"""with s as (select user_id as station, {_Y_SQL},
+    f"""with s as (select user_id as station, {Y_SQL},
                           lag(value) over (partition by user_id order by ts, event_id) as previous from events),
-        g as (select station, {_SCORES_SQL} from s group by 1),
-        o as (select {_Y_SQL}, lag(value) over (order by user_id, ts, event_id) as previous from events),
-        w as (select {_SCORES_SQL} from o)
-        {_long_scores("g", "station::varchar")} union all {_long_scores("w", "'Overall'")}""",
+        g as (select station, {SCORES_SQL} from s group by 1),
+        o as (select {Y_SQL}, lag(value) over (order by user_id, ts, event_id) as previous from events),
+        w as (select {SCORES_SQL} from o)
+        {long_scores("g", "station::varchar")} union all {long_scores("w", "'Overall'")}""",
 )
 def q_score_table(spark, sf):
     scores = score_table(

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from airloom.catalog.base import (
     CELL_SERIES_SQL,
     CELLS_SQL,
-    EVENT_TYPES,
     NEAREST_SQL,
     STATIONS_SQL,
     cell_series,
@@ -18,15 +17,16 @@ from airloom.catalog.base import (
     stations,
     table,
 )
-from airloom.operators.assemble import apply_to_tables, dedup_dimension, union_by_name
-from airloom.operators.boosting import Boosting, assemble, fit, load_model, save_model
+from airloom.catalog.models import SCORES_SQL, Y_SQL, long_scores
+from airloom.operators.assemble import dedup_dimension, union_by_name
+from airloom.operators.boosting import Boosting, assemble, fit, load_model, predict, save_model
 from airloom.operators.calendar import daily_mean
 from airloom.operators.metrics import score_table
 from airloom.operators.reshape import AEROSOL_VARIABLES
 from airloom.operators.scaling import fit_scale
 from airloom.operators.spatial import nearest_cells
 from airloom.session import fresh_path, materialize
-from airloom.sources.files import read_combined, read_station_files, read_tree
+from airloom.sources.files import apply_to_folder, read_combined, read_station_files, read_tree
 from airloom.sources.grids import (
     granule_observations,
     grid_observations,
@@ -237,12 +237,17 @@ def q_export_csv(spark, sf):
     return reader.option("timestampNTZFormat", CSV_TIMESTAMP).csv(path)
 
 
+def _kinds(facts) -> list[str]:
+    """Variables that occur; a station's files are named by them here."""
+    return [r["variable"] for r in facts.select("variable").distinct().collect()]
+
+
 @query("station_files", "select event_type as station, ts as date, value from events")
 def q_station_files(spark, sf):
     path = fresh_path(spark, "station-files")
     facts = observations(spark, sf)
     text = facts.select(F.col("date").cast("string").alias("date"), "value", "variable")
-    for name in EVENT_TYPES:
+    for name in _kinds(facts):
         text.where(F.col("variable") == name).drop("variable").write.parquet(f"{path}/{name}.v1.parquet")
     return read_station_files(spark, path, text.drop("variable").schema)
 
@@ -270,20 +275,21 @@ def q_per_station_output(spark, sf):
 
 @query(
     "per_metric_output",
-    """select 'RMSE' as metric, round(sqrt(avg((value - value * 0.9::double) ** 2)), 6) as score,
-              event_type as station from events group by 3
-       union all
-       select 'RMSE', round(sqrt(avg((value - value * 0.9::double) ** 2)), 6), 'Overall' from events""",
+    f"""with s as (select event_type as station, {Y_SQL},
+                          lag(value) over (partition by event_type order by ts, event_id) as previous from events),
+        g as (select station, {SCORES_SQL} from s group by 1),
+        o as (select {Y_SQL}, lag(value) over (order by event_type, ts, event_id) as previous from events),
+        w as (select {SCORES_SQL} from o)
+        {long_scores("g", "station")} union all {long_scores("w", "'Overall'")}""",
 )
 def q_per_metric_output(spark, sf):
     path = fresh_path(spark, "metrics")
-    scored = observations(spark, sf).withColumn("predicted", F.col("value") * 0.9)
-    scores = score_table(scored, ["variable"], ["date", "event_id"], "variable", actual="value")
+    scored = observations(spark, sf).withColumn("predicted", F.col("value") * 0.9 + 1)
+    scored = scored.drop("station").withColumnRenamed("variable", "station")
+    scores = score_table(scored, ["station"], ["date", "event_id"], "station", actual="value")
     write_per_metric(scores, path)
-    one = spark.read.parquet(f"{path}/Metric=RMSE")
-    return one.select(
-        F.lit("RMSE").alias("metric"), r6("Value").alias("score"), F.col("variable").alias("station")
-    )
+    found = spark.read.parquet(path)
+    return found.select(*[c for c in scores.columns if c != "Value"], r6("Value").alias("Value"))
 
 
 @query(
@@ -310,10 +316,11 @@ def q_predictions_output(spark, sf):
 )
 def q_tables_of_schema(spark, sf):
     facts = observations(spark, sf)
-    tables = {
-        name: facts.where(F.col("variable") == name).select("date", "value") for name in EVENT_TYPES
-    }
-    daily = apply_to_tables(tables, lambda df: daily_mean(df, ["value"]))
+    path = fresh_path(spark, "schema")
+    for name in _kinds(facts):
+        facts.where(F.col("variable") == name).select("date", "value").write.parquet(f"{path}/{name}")
+    schema = facts.select("date", "value").schema
+    daily = apply_to_folder(spark, path, schema, lambda df: daily_mean(df, ["value"]))
     return daily.withColumn("value", r6("value"))
 
 
@@ -321,7 +328,7 @@ def q_tables_of_schema(spark, sf):
     "union_by_name",
     """select event_id, case when event_type <> 'view' then value end as value,
               case when event_type = 'view' then props end as props
-       from events where event_type in ('view', 'click', 'error')""",
+       from events""",
 )
 def q_union_by_name(spark, sf):
     events = table(spark, sf, "events")
@@ -330,7 +337,7 @@ def q_union_by_name(spark, sf):
         [
             events.where(kind == "click").select("event_id", "value"),
             events.where(kind == "view").select("props", "event_id"),
-            events.where(kind == "error").select("value", "event_id"),
+            events.where(~kind.isin("click", "view")).select("value", "event_id"),
         ]
     )
 
@@ -340,7 +347,8 @@ def q_union_by_name(spark, sf):
     """select 'l_quantity' as "column", 'feature' as role, round(avg(l_quantity), 6) as mean,
               round(stddev_pop(l_quantity), 6) as deviation from lineitem
        union all select 'l_discount', 'feature', round(avg(l_discount), 6), round(stddev_pop(l_discount), 6) from lineitem
-       union all select 'l_extendedprice', 'target', round(avg(l_extendedprice), 6), round(stddev_pop(l_extendedprice), 6) from lineitem""",
+       union all select 'l_extendedprice', 'target', round(avg(l_extendedprice), 6), round(stddev_pop(l_extendedprice), 6) from lineitem
+       union all select 'l_extendedprice', 'loaded', 0.0::double, 1.0::double""",
 )
 def q_model_store(spark, sf):
     path = fresh_path(spark, "model")
@@ -349,7 +357,17 @@ def q_model_store(spark, sf):
     scale = fit_scale(lines, [*features, target])
     model = fit(assemble(lines, features, scale, target), Boosting(rounds=2, depth=2, rate=0.3))
     save_model(spark, model, scale, features, target, path)
-    _, scale, features, target = load_model(spark, path)
+    loaded, scale, features, target = load_model(spark, path)
     rows = [(c, "target" if c == target else "feature", *scale[c]) for c in [*features, target]]
     found = spark.createDataFrame(rows, "column string, role string, mean double, deviation double")
+    vectors = assemble(lines, features, scale, target)
+    both = predict(model, vectors, target, scale, "first").select("first", *features)
+    again = predict(loaded, assemble(both, features, scale, None), target, scale, "second")
+    # The loaded model predicts what the saved one did, and not the same for all rows.
+    gap = again.agg(F.max(F.abs(F.col("first") - F.col("second"))), F.stddev_pop("second") > 0)
+    check = gap.toDF("mean", "varies").select(
+        F.lit(target).alias("column"), F.lit("loaded").alias("role"), "mean",
+        F.col("varies").cast("double").alias("deviation"),
+    )
+    found = found.unionByName(check)
     return found.select("column", "role", r6("mean").alias("mean"), r6("deviation").alias("deviation"))

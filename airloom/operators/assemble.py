@@ -167,10 +167,3 @@ def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
     for frame in frames[1:]:
         out = out.unionByName(frame, allowMissingColumns=True)
     return out
-
-
-def apply_to_tables(tables: dict[str, DataFrame], transform, key: str = "station") -> DataFrame:
-    """One transformation over every table of a schema: a union keyed by table name, so it
-    is one job whatever the number of tables."""
-    named = [df.withColumn(key, F.lit(name)) for name, df in tables.items()]
-    return transform(union_by_name(named))

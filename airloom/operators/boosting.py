@@ -26,11 +26,9 @@ GRID = {
     "row_share": [0.7, 0.8, 0.9],
     "column_share": [0.7, 0.8, 0.9],
     "bins": [256, 512],
+    "min_gain": [0.0, 0.1, 1.0],
 }
 
-# Below every scaled value: a missing feature gets the lowest bin to itself.
-MISSING = -1.0e9
-
 _FEATURES = "features"
 _LABEL = "label"
 
@@ -72,6 +70,7 @@ _PARAMS = {
     "row_share": "subsamplingRate",
     "column_share": "featureSubsetStrategy",
     "bins": "maxBins",
+    "min_gain": "minInfoGain",
 }
 
 
@@ -80,13 +79,15 @@ def assemble(
 ) -> DataFrame:
     """Scaled features as a vector and the scaled target as the label.
 
-    ``nulls="skip"`` drops incomplete rows, ``nulls="keep"`` gives missing features a value
-    below all others, which a tree can split off.
+    ``nulls="skip"`` drops incomplete rows. ``nulls="keep"`` adds an indicator per feature, so
+    that trees can tell a missing one, whose value is the mean, from all present ones.
     """
     names = [f"__f{i}" for i in range(len(features))]
     cells = [F.nanvl(scaled(c, scale), F.lit(None)) for c in features]
     if nulls == "keep":
-        cells = [F.coalesce(c, F.lit(MISSING)) for c in cells]
+        gaps = [c.isNull().cast("double") for c in cells]
+        cells = [F.coalesce(c, F.lit(0.0)) for c in cells] + gaps
+        names += [f"__g{i}" for i in range(len(features))]
     out = df.select("*", *[c.alias(n) for c, n in zip(cells, names)])
     if target is not None:
         out = out.withColumn(_LABEL, scaled(target, scale)).where(f"{_LABEL} is not null")
@@ -102,13 +103,14 @@ def fit(train: DataFrame, setting: Boosting) -> GBTRegressionModel:
 def search(
     train: DataFrame,
     setting: Boosting,
-    grid: dict[str, Sequence],
+    grid: dict[str, Sequence] | None,
     fold: str,
     folds: int,
     parallelism: int = 4,
 ) -> tuple[GBTRegressionModel, dict, float]:
     """Grid search by cross-validated mean squared error, then a fit of the best setting on
-    all training rows. ``fold`` holds fold numbers from 0."""
+    all training rows. ``fold`` holds fold numbers from 0; without a grid it is ``GRID``."""
+    grid = GRID if grid is None else grid
     scratch_root(train.sparkSession)
     estimator = setting.estimator()
     builder = ParamGridBuilder()
@@ -149,8 +151,9 @@ IMPORTANCES = T.StructType(
 def importances(
     spark: SparkSession, model: GBTRegressionModel, features: Sequence[str]
 ) -> DataFrame:
-    """Importance of each feature, one row per feature."""
-    rows = [(f, float(v)) for f, v in zip(features, model.featureImportances.toArray())]
+    """Importance of each feature, that of its indicator included, one row per feature."""
+    found = model.featureImportances.toArray().reshape(-1, len(features)).sum(axis=0)
+    rows = [(f, float(v)) for f, v in zip(features, found, strict=True)]
     return spark.createDataFrame(rows, IMPORTANCES)
 
 

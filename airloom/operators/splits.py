@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from airloom.functions.dates import season
-from airloom.session import lookup_table
+from airloom.session import lookup_table, materialize
 
 # Held-out share, seed and fold counts.
 TEST_SHARE = 0.2
@@ -168,3 +168,14 @@ def hold_out(df: DataFrame, fold: str, value) -> tuple[DataFrame, DataFrame]:
     """Training rows outside the fold and test rows inside it."""
     test = F.col(fold).eqNullSafe(F.lit(value))
     return df.where(~test), df.where(test)
+
+
+def fold_sizes(df: DataFrame, fold: str) -> DataFrame:
+    """Rows inside (``is_test``) and outside each fold, from one count per fold."""
+    counts = materialize(df.groupBy(fold).agg(F.count(F.lit(1)).alias("n")), "fold-sizes")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    parts = F.array(
+        F.struct(F.lit(True).alias("is_test"), F.col("n").alias("rows")),
+        F.struct(F.lit(False).alias("is_test"), (F.lit(total) - F.col("n")).alias("rows")),
+    )
+    return counts.select(fold, F.inline(parts)).where("rows > 0")

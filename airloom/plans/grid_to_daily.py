@@ -38,7 +38,15 @@ def daily_station_table(
     end: str | None = None,
     inclusive_day: bool = False,
 ) -> DataFrame:
-    """Wide daily means in local time, every calendar day of a station present."""
+    """Wide daily means in local time, every calendar day of a station present.
+
+    No zone is a day or more away from another, so rows further outside the period than that are
+    filtered by the source's own time, which the scan can use.
+    """
+    if start and end:
+        low, high = F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz")
+        day = F.expr("interval 1 day")
+        series = series.where((F.col("date") >= low - day) & (F.col("date") < high + day + day))
     wide = crosstab(series, ["station", "date"], variables)
     wide = wide.withColumn("date", to_local(F.col("date")))
     if start and end:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -59,3 +60,11 @@ def read_combined(spark: SparkSession, folder: str) -> DataFrame:
     for c in found.columns:
         same.setdefault(c.strip(), []).append(found[f"`{c}`"])
     return found.select(*[F.coalesce(*cols).alias(name) for name, cols in same.items()])
+
+
+def apply_to_folder(
+    spark: SparkSession, folder: str, schema: T.StructType, transform: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """One transformation over every table of a folder, keyed by ``station``, the table's name:
+    one read and one job whatever the number of tables."""
+    return transform(read_station_files(spark, folder, schema))
