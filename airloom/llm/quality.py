@@ -229,3 +229,61 @@ def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 def stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents that pass, with the columns they came with."""
     return judge(docs).filter("kept").select(*docs.columns)
+
+
+def _common_sql() -> str:
+    rows = [f"('{lang}', '{w}')" for lang, words in COMMON_WORDS.items() for w in words]
+    return f"select * from (values {', '.join(rows)}) as v(lang, bin)"
+
+
+_WORD = r"[^\x20\x09-\x0D]+"
+
+SQL = f"""
+with words as (
+    select doc_id, lang, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '{_WORD}') as w
+    from documents),
+places as (select doc_id, w, unnest(range(1, len(w) - 1)) as i from words where len(w) > 2),
+grams as (
+    select doc_id, i, count(*) over (partition by doc_id, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) as n
+    from places),
+again as (
+    select doc_id, count(distinct i + k) as n
+    from grams, (select unnest([0, 1, 2]) as k) where n > 1 group by doc_id),
+lines as (
+    select doc_id, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{_WORD}')) as l
+    from words),
+counts as (
+    select doc_id, lang, w, len(w)::bigint as n_words, length(array_to_string(w, ''))::bigint as word_chars,
+           {", ".join(f"len(regexp_extract_all(t, '{v}'))::bigint as {k}" for k, v in CLASSES.items())},
+           (len(l) - len(list_distinct(l)))::bigint as n_dup_lines, coalesce(again.n, 0) as n_repeat_words
+    from words join lines using (doc_id) left join again using (doc_id)),
+base as (
+    select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from counts),
+listed as (
+    select doc_id, base.lang, 'word' as kind, bin, len(list_filter(w, lambda x: x = bin)) as n, n_words as total
+    from base join ({_common_sql()}) using (lang)),
+bins as (
+    select doc_id, lang, 'class' as kind, unnest([{", ".join(f"'{k}'" for k in CLASSES)}, 'rest']) as bin,
+           unnest([{", ".join(CLASSES)}, word_chars - {" - ".join(CLASSES)}]) as n, word_chars as total
+    from base
+    union all select * from listed
+    union all select doc_id, lang, kind, '', total - sum(n), total from listed group by doc_id, lang, kind, total),
+refs as (
+    select b.lang, kind, bin, sum(n) / nullif(sum(total), 0) as q, sum(n_words) as ref_n_words
+    from bins b join base using (doc_id) where not base_failed group by b.lang, kind, bin),
+shares as (
+    select doc_id, b.kind, n / nullif(total, 0) as p, q, ref_n_words
+    from bins b join refs r on b.lang is not distinct from r.lang and b.kind = r.kind and b.bin = r.bin),
+distances as (
+    select doc_id, kind, max(ref_n_words) as ref_n_words, sqrt(greatest(sum(
+        case when p > 0 then p * log2(2 * p / (p + q)) else 0 end
+        + case when q > 0 then q * log2(2 * q / (p + q)) else 0 end) / 2, 0)) as d
+    from shares where p is not null group by doc_id, kind),
+far as (
+    select distinct doc_id from distances join base using (doc_id)
+    where n_words >= {MIN_WORDS} and ref_n_words >= {MIN_REFERENCE_WORDS}
+      and d > case kind when 'class' then {MAX_CLASS_DISTANCE}
+                        else {MAX_WORD_DISTANCE} + {WORD_NOISE} / sqrt(n_words) end)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       not base_failed and doc_id not in (select doc_id from far) as kept
+from base"""

@@ -27,4 +27,5 @@ SQL: dict[str, str] = {
     "op3_chat_perspectives": chat.SQL,
     "op4_substring_dedup": substring_dedup.SQL,
     "op5_minhash_near_dedup": near_dedup.SQL,
+    "op9_quality_rules": quality.SQL,
 }
