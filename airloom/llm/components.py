@@ -1,50 +1,63 @@
-"""Connected components of a large graph by alternating star contractions."""
+"""Connected components of a large graph by merging within tasks, then between them."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from airloom.llm.common import materialize
 
+#: Links that one task merges in memory.
+TASK_LINKS = 1_000_000
 
-def _stars(edges: DataFrame, large: bool) -> DataFrame:
-    """Every node's neighbours, larger or not larger ones, tied to the smallest of all of them."""
-    if large:
-        near = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    else:
-        near = edges
-    smallest = near.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    tied = near.join(smallest, "u")
-    if large:
-        tied = tied.filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-    else:
-        tied = tied.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
-            smallest.select("u", F.col("m").alias("v"))
-        )
-    return tied.filter(F.col("u") != F.col("v")).distinct()
 
+def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every node of a task's links with the smallest node that these links join it to."""
+    top: dict[int, int] = {}
 
-def _state(edges: DataFrame) -> tuple:
-    """Equal for equal sets of edges, but for chance."""
-    hashed = F.xxhash64("u", "v").cast("decimal(38,0)")
-    return tuple(edges.agg(F.count("*"), F.sum(hashed)).first())
+    def find(x: int) -> int:
+        while top.setdefault(x, x) != x:
+            top[x] = top[top[x]]
+            x = top[x]
+        return x
 
+    for batch in batches:
+        for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True):
+            x, y = find(a), find(b)
+            top[max(x, y)] = min(x, y)
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(top, pa.int64()), pa.array([find(x) for x in top], pa.int64())], ["node", "root"]
+    )
 
-def components(links: DataFrame) -> DataFrame:
+
+def components(links: DataFrame, task_links: int = TASK_LINKS) -> DataFrame:
     """Rows (node, component): the smallest node that each node of links (a, b) reaches.
 
-    Every node's edges are pointed at the smallest neighbour, over and over, until all of a
-    component's nodes point at its smallest; each round is written, so a lost executor costs one.
+    Links are dealt into tasks of bounded size, which merge what they see. A node that several
+    tasks have seen links their roots; those links, far fewer, are the next, smaller graph, until
+    one task is enough. Every level is written, so a lost executor costs a part of one.
     """
-    edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    edges = materialize(edges.filter(F.col("u") != F.col("v")).distinct(), "edges")
-    before = _state(edges)
-    while before[0]:
-        edges = materialize(_stars(_stars(edges, large=True), large=False), "edges")
-        now = _state(edges)
-        if now == before:
+    levels = []
+    while True:
+        n = links.count()
+        tasks = max(1, -(-n // task_links))
+        dealt = links.coalesce(1) if tasks == 1 else links.repartition(tasks)
+        forest = materialize(dealt.select("a", "b").mapInArrow(_forest, "node long, root long"), "forest")
+        if tasks == 1:
             break
-        before = now
-    roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
+        # A node is seen by as many tasks as there are at most, so these sets are bounded.
+        seen = forest.groupBy("node").agg(F.collect_set("root").alias("roots"))
+        seen = materialize(seen.withColumn("root", F.array_min("roots")), "forest")
+        levels.append(seen.select("node", "root"))
+        links = materialize(
+            seen.select(F.col("root").alias("a"), F.explode("roots").alias("b")).where("a <> b").distinct(),
+            "links",
+        )
+    found = forest.select("node", F.col("root").alias("component"))
+    for level in reversed(levels):
+        top = found.select(F.col("node").alias("root"), "component")
+        found = level.join(top, "root", "left").select("node", F.coalesce("component", "root").alias("component"))
+    return found
