@@ -4,7 +4,7 @@ A document's set is its distinct word shingles. Equal sets are one class, stood
 smallest doc_id. Bands of MinHashes put similar classes in common buckets. A second MinHash sample,
 the smallest hash of each of ``BINS`` ranges, is folded into a parity bitmap, the odd sketch: the
 population count of two sketches' XOR tells how many samples differ, and so the similarity, with
-an error of about 0.015 around the threshold. Candidates whose estimate is within ``MARGIN`` of the
+an error below 0.01. Candidates whose estimate is not ``DEVIATIONS`` such errors below the
 threshold are confirmed on their full sets.
 
 Only what is connected is asked for, so not all pairs of a bucket are made. First every member is
@@ -41,12 +41,14 @@ STAGE_SHINGLE = 5
 STAGE_PERCENT = 80
 BANDS = 28
 ROWS = 4
-BINS = 1024
-BITS = 2048
-MARGIN = 0.10
+BINS = 4096
+BITS = 4096
+#: Deviations, and a constant, by which an estimate may fall below the threshold.
+DEVIATIONS = 6
+SLACK = 0.01
 SMALL = 32
 BLOCK = 2000
-FORESTS = 2
+FORESTS = 1
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -120,19 +122,30 @@ def signatures(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     return documents(docs).mapInArrow(sign, SIGNATURE)
 
 
-def _similar(differing: Column, samples: Column, sizes: Column, near: float) -> Column:
-    """Estimated similarity, best where it is about ``near``, of two sketches.
+def _surplus(differing, samples, size_a, size_b, near: float, exp, log, sqrt):
+    """By how much the estimated similarity of two sketches is above the least that a pair of
+    similarity ``near`` can show; columns or arrays, with their functions.
 
-    ``samples`` and ``sizes`` are sums over both sets. The differing bits tell how many samples are
-    in one sketch only; a pair of similarity s has the same sample in a share s of the ranges that
-    hold any of the two sets, whose number follows from the size of their union.
+    The differing bits tell how many of all ``samples`` are in one sketch only. Of the ranges that
+    hold any of the two sets, a share that is the similarity has the same sample for both; their
+    number follows from the size of the union. The errors are those of taking as many elements of
+    the union as there are ranges, and of two samples falling on one bit.
     """
-    apart = F.when(2 * differing < BITS, -BITS / 2 * F.log(1 - 2 * differing / BITS))
-    ranges = BINS * (1 - F.exp(-sizes / ((1 + near) * BINS)))
-    return (samples - apart) / 2 / ranges
 
+    def ranges(size):
+        return (1 - exp(-size / BINS)) * BINS
 
-def _likely(pairs: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
+    apart = log(1 - 2 * differing / BITS) * (-BITS / 2)
+    union = (size_a + size_b) / (1 + near)
+    held = ranges(union) * samples / (ranges(size_a) + ranges(size_b))
+    estimate = (samples - apart) / 2 / held
+    expected = samples - 2 * near * held
+    folded = (exp(4 * expected / BITS) - 1) * (BITS / 4) - expected
+    variance = near * (1 - near) / held * (1 - held / union) + folded / (4 * held * held)
+    return estimate - near + SLACK + sqrt(variance) * DEVIATIONS
+
+
+def _likely(pairs: DataFrame, sketches: DataFrame, near: float) -> DataFrame:
     """Pairs whose odd sketches are similar enough."""
 
     def side(name: str) -> DataFrame:
@@ -148,16 +161,20 @@ def _likely(pairs: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
     differing = bits[0]
     for x in bits[1:]:
         differing = differing + x
-    samples, sizes = F.col("m_a") + F.col("m_b"), F.col("n_a") + F.col("n_b")
-    return both.filter(_similar(differing, samples, sizes, least) >= least).select("a", "b")
+    # Beyond half of the bits a sketch tells nothing; such pairs are far below any threshold.
+    both = both.withColumn("d", differing.cast("double")).filter(2 * F.col("d") < BITS)
+    surplus = _surplus(
+        F.col("d"), F.col("m_a") + F.col("m_b"), F.col("n_a"), F.col("n_b"), near, F.exp, F.log,
+        lambda x: F.sqrt(F.greatest(x, F.lit(0.0))),
+    )
+    return both.filter(surplus >= 0).select("a", "b")
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """Pairs that are similar enough on their full sets."""
     ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id")))
     ids = broadcast_checked(materialize(ids.distinct(), "candidates"))
-    needed = docs.join(ids, "doc_id", "left_semi").select("doc_id", "text").dropDuplicates(["doc_id"])
-    needed = materialize(needed, "candidate-texts")
+    needed = docs.join(ids, "doc_id", "left_semi").select("doc_id", "text")
 
     def side(name: str) -> DataFrame:
         return needed.select(F.col("doc_id").alias(name), F.col("text").alias(f"text_{name}"))
@@ -178,7 +195,8 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Da
                 [pa.array([p[i] for p in passed], pa.int64()) for i in (0, 1)], ["a", "b"]
             )
 
-    return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(confirm, "a long, b long")
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    return both.mapInArrow(confirm, "a long, b long")
 
 
 def _pairs_of_small(members: DataFrame) -> DataFrame:
@@ -191,22 +209,24 @@ def _pairs_of_small(members: DataFrame) -> DataFrame:
     return met.select(F.col("doc_id").alias("a"), F.col("y").alias("b")).distinct()
 
 
-def _estimates(
-    x: np.ndarray, sketches: np.ndarray, samples: np.ndarray, sizes: np.ndarray, near: float
+def _surpluses(
+    x: np.ndarray, sketches: np.ndarray, samples: np.ndarray, size: int, sizes: np.ndarray, near: float
 ) -> np.ndarray:
     """The same of one sketch with many."""
     # Counted unsigned: of negative numbers numpy counts the bits of their absolute value.
     differing = np.bitwise_count((sketches ^ x).view(np.uint64)).sum(axis=1, dtype=np.int64)
     with np.errstate(divide="ignore", invalid="ignore"):
-        apart = -BITS / 2 * np.log(1 - 2 * differing / BITS)
-        out = (samples - apart) / 2 / (BINS * (1 - np.exp(-sizes / ((1 + near) * BINS))))
-    return np.where(2 * differing < BITS, out, 0.0)
+        out = _surplus(
+            differing, samples, size, sizes, near, np.exp, np.log, lambda v: np.sqrt(np.maximum(v, 0))
+        )
+    return np.where(2 * differing < BITS, out, -1.0)
 
 
-def _pairs_of_large(members: DataFrame, sketches: DataFrame, least: float, every: bool) -> DataFrame:
+def _pairs_of_large(members: DataFrame, sketches: DataFrame, near: float, every: bool) -> DataFrame:
     """Likely pairs between components of larger buckets, block against block.
 
-    Unless ``every``, only those that connect the components, the most similar first.
+    A pair is looked at in the first bucket that both are in. Unless ``every``, only those that
+    connect the components, the most similar first.
     """
     large = members.filter(F.col("size") > SMALL).join(sketches, "doc_id")
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
@@ -218,21 +238,24 @@ def _pairs_of_large(members: DataFrame, sketches: DataFrame, least: float, every
         doc, label, own = (group[c].to_numpy() for c in ("doc_id", "label", "own"))
         bits = np.array(group["sketch"].to_pylist(), np.int64)
         samples, sizes = (group[c].to_numpy().astype(np.int64) for c in ("samples", "n_shingles"))
+        bands, bucket = np.array(group["bands"].to_pylist(), np.int64), group["b"][0].as_py()
         across = len(np.unique(own)) > 1
         found: list[tuple[float, int, int]] = []
         for k in range(len(doc)):
             after = slice(k + 1, None)
-            both = samples[k] + samples[after], sizes[k] + sizes[after]
-            estimate = _estimates(bits[k], bits[after], *both, least)
-            ok = (estimate >= least) & (label[after] != label[k])
+            both = samples[k] + samples[after]
+            surplus = _surpluses(bits[k], bits[after], both, int(sizes[k]), sizes[after], near)
+            ok = (surplus >= 0) & (label[after] != label[k])
             if across:
                 ok &= own[after] != own[k]
             hits = np.flatnonzero(ok)
+            first = (bands[after][hits] == bands[k]).argmax(axis=1)
+            hits = hits[bands[k][first] == bucket]
             if not every and len(hits):
                 # The best edge to each other component is enough for this round.
-                order = hits[np.argsort(-estimate[hits], kind="stable")]
+                order = hits[np.argsort(-surplus[hits], kind="stable")]
                 hits = order[np.unique(label[after][order], return_index=True)[1]]
-            found += [(float(estimate[h]), k, k + 1 + int(h)) for h in hits]
+            found += [(float(surplus[h]), k, k + 1 + int(h)) for h in hits]
         parent = {x: x for x in np.unique(label).tolist()}
 
         def top(x: int) -> int:
@@ -262,14 +285,13 @@ def _crowded(reps: DataFrame) -> DataFrame:
 def classes(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """Rows (doc_id, n_shingles, component_id) for every row of docs."""
     docs = documents(docs)
-    least = percent / 100 - MARGIN
+    near = percent / 100
     signed = materialize(signatures(docs, size), "signatures")
     sets = signed.filter(F.col("n_shingles") > 0)
     equal = sets.groupBy("s1", "s2").agg(F.min("doc_id").alias("rep"))
     reps = sets.join(equal.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
     sketches = materialize(reps.select("doc_id", "n_shingles", "bands", "samples", "sketch"), "sketches")
     crowded = materialize(_crowded(sketches), "crowded")
-    sketches = sketches.drop("bands")
 
     pairs = crowded.filter(F.col("doc_id") != F.col("centre"))
     pairs = pairs.select(F.col("centre").alias("a"), F.col("doc_id").alias("b")).distinct()
@@ -278,8 +300,8 @@ def classes(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Dat
         pairs = materialize(pairs, "pairs")
         if pairs.isEmpty():
             break
-        likely = materialize(_likely(pairs, sketches, least), "likely")
-        new = materialize(_confirmed(likely, docs, size, percent), "links")
+        likely = materialize(_likely(pairs, sketches, near), "likely")
+        new = materialize(_confirmed(likely, docs, size, percent).distinct(), "links")
         tried = pairs if tried is None else tried.unionByName(pairs)
         links = new if links is None else links.unionByName(new)
         found = materialize(components(links), "components")
@@ -291,7 +313,7 @@ def classes(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Dat
         mixed_ = members.groupBy("b").agg(F.min("label").alias("x"), F.max("label").alias("y"))
         members = members.join(mixed_.filter(F.col("x") < F.col("y")).select("b"), "b", "left_semi")
         every = rounds >= FORESTS
-        pairs = _pairs_of_small(members).unionByName(_pairs_of_large(members, sketches, least, every))
+        pairs = _pairs_of_small(members).unionByName(_pairs_of_large(members, sketches, near, every))
         pairs = pairs.distinct().join(tried, ["a", "b"], "left_anti")
         rounds += 1
     component = F.col("rep")
