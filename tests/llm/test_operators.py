@@ -157,24 +157,34 @@ def test_near_dedup(docs, size, percent, monkeypatch):
         assert (r["n_shingles"], r["component_id"]) == (len(sets[r["doc_id"]]), wanted[r["doc_id"]])
 
 
-def test_odd_sketch_estimates():
-    r = np.random.default_rng(5)
-    for n, share in ((30, 0.8), (200, 0.9), (900, 0.75), (3000, 0.85), (20000, 0.8)):
-        other = int(n * (1 - share) / (1 + share))
-        x = r.permutation(np.unique(r.integers(0, 2**64, 2 * n, dtype=np.uint64)))
-        a, b = np.sort(x[:n]), np.sort(x[other : n + other])
-        m, s = near_dedup.odd_sketch(a)
-        k, t = near_dedup.odd_sketch(b)
-        true = len(np.intersect1d(a, b)) / len(np.union1d(a, b))
-        guess = near_dedup._estimates(s, t[None, :], np.array([m + k]), np.array([2 * n]), share)[0]
-        assert abs(guess - true) < 0.06
-
-
-def test_components(spark):
+@pytest.mark.parametrize("n", [12, 60, 170, 650, 3000, 20000])
+def test_odd_sketches_keep_links_and_drop_others(n):
+    r = np.random.default_rng(n)
+    near, kept = 0.85, {}
+    for share in (0.7, near, 0.9):
+        results = []
+        for _ in range(60):
+            x = r.permutation(np.unique(r.integers(0, 2**64, 2 * n, dtype=np.uint64)))
+            other = int(n * (1 - share) / (1 + share))
+            grown = r.integers(0, max(1, int(0.1 * other) + 1))
+            a, b = np.sort(x[:n]), np.sort(x[other - grown : n + other])
+            true = len(np.intersect1d(a, b)) / len(np.union1d(a, b))
+            m, s = near_dedup.odd_sketch(a)
+            k, t = near_dedup.odd_sketch(b)
+            surplus = near_dedup._surpluses(s, t[None, :], np.array([m + k]), len(a), np.array([len(b)]), near)[0]
+            results.append((true, surplus >= 0))
+        assert all(passed for true, passed in results if true >= near)
+        kept[share] = sum(passed for _, passed in results)
+    if n > 12:
+        assert kept[0.7] == 0
+
+
+@pytest.mark.parametrize("task_links", [10**6, 7])
+def test_components(spark, task_links):
     r = random.Random(2)
     edges = [(i, i + 1) for i in range(0, 60)] + [(100 + r.randint(0, 50), 100 + r.randint(0, 50)) for _ in range(40)]
     edges += [(500, i) for i in range(501, 560)] + [(7, 7)]
-    found = {x["node"]: x["component"] for x in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    found = {x["node"]: x["component"] for x in components.components(spark.createDataFrame(edges, "a long, b long"), task_links).collect()}
     top = {}
 
     def find(x):
@@ -185,7 +195,7 @@ def test_components(spark):
     for a, b in edges:
         x, y = sorted((find(a), find(b)))
         top[y] = x
-    assert {n: c for n, c in found.items()} == {n: find(n) for n in top if any(n in e and e[0] != e[1] for e in edges)}
+    assert found == {n: find(n) for n in list(top)}
 
 
 def test_token_counts(docs):
