@@ -1,12 +1,31 @@
-"""The second flow end to end: monitoring, weather and aerosol rows to the feature table."""
+"""Flows end to end: the weather grid to daily station series, and monitoring, weather and aerosol
+rows to the feature table."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from airloom.catalog.base import STATIONS_SQL, query, r6, stations, table
+from airloom.catalog.base import (
+    CELLS_SQL,
+    NEAREST_SQL,
+    STATIONS_SQL,
+    cells,
+    observations,
+    query,
+    r6,
+    stations,
+    table,
+)
 from airloom.functions.cells import PRECIPITATION_SENTINEL
-from airloom.operators.assemble import add_coordinates, merge_sources, order_columns
+from airloom.operators.assemble import (
+    OCEAN_COLUMNS,
+    add_coordinates,
+    drop_if_present,
+    merge_sources,
+    order_columns,
+)
+from airloom.operators.reshape import AEROSOL_VARIABLES, WEATHER_VARIABLES, crosstab
+from airloom.plans.grid_to_daily import daily_station_table, station_series
 from airloom.plans.station_table import (
     DEW_POINT,
     HUMIDITY,
@@ -155,3 +174,52 @@ def q_monitoring_matrix(spark, sf):
         F.when(status == "O", (F.col("o_custkey") + 1).cast("string")).alias("guney|PM10"),
     )
     return monitoring_wide(monitoring_long(matrix), ["PM10", "NO2"])
+
+
+_NINE = range(len(WEATHER_VARIABLES))
+
+
+@query(
+    "weather_flow",
+    f"""with {STATIONS_SQL}, {CELLS_SQL}, {NEAREST_SQL},
+    obs as (select l_partkey as cell_id, year(l_shipdate) as y, l_orderkey % 9 as v,
+                   avg(l_extendedprice) as value from lineitem group by all),
+    series as (select station, y, v, case when count(value) = 4
+                      then sum(value / sqrt(d2)) / sum(1 / sqrt(d2)) end as value
+               from nearest join obs using (cell_id) group by all),
+    wide as (select station,
+                    make_timestamp(y, 1, 1, 22, 0, 0) at time zone 'UTC' at time zone 'Europe/Istanbul' as ts,
+                    {", ".join(f"max(case when v = {i} then value end) as v{i}" for i in _NINE)}
+             from series group by station, y),
+    daily as (select station, ts::date as date, {", ".join(f"avg(v{i}) as v{i}" for i in _NINE)}
+              from wide where ts between timestamp '1993-01-01' and timestamp '1997-12-31' group by all),
+    days as (select station, unnest(generate_series(min(date), max(date), interval 1 day))::date as date
+             from daily group by station)
+    select station, date, {", ".join(f'round(v{i}, 6) as "{v}"' for i, v in enumerate(WEATHER_VARIABLES))}
+    from days left join daily using (station, date)""",
+)
+def q_weather_flow(spark, sf):
+    """Grid cells onto stations, nine variables side by side, local days of a period."""
+    year, kind = F.year("l_shipdate"), F.pmod("l_orderkey", F.lit(9)).cast("int") + 1
+    grid = table(spark, sf, "lineitem").groupBy(
+        F.col("l_partkey").alias("cell_id"),
+        F.make_timestamp_ntz(year, F.lit(1), F.lit(1), F.lit(22), F.lit(0), F.lit(0)).alias("time"),
+        F.element_at(F.array(*map(F.lit, WEATHER_VARIABLES)), kind).alias("variable"),
+    ).agg(F.avg("l_extendedprice").alias("value"))
+    series = station_series(cells(spark, sf), grid, stations(spark, sf), "time")
+    daily = daily_station_table(series, WEATHER_VARIABLES, "1993-01-01", "1997-12-31")
+    return daily.select("station", "date", *[r6(f"`{v}`").alias(v) for v in WEATHER_VARIABLES])
+
+
+@query(
+    "aerosol_layout",
+    f"""select user_id as station, ts::date as date,
+               max(case when event_id % 3 = 0 then value end) as "{LAND}"
+        from events group by all""",
+)
+def q_aerosol_layout(spark, sf):
+    """Three aerosol variables side by side; those over the ocean go."""
+    kind = F.pmod("event_id", F.lit(3)).cast("int") + 1
+    named = F.element_at(F.array(*map(F.lit, AEROSOL_VARIABLES)), kind)
+    facts = observations(spark, sf).withColumns({"variable": named, "date": F.to_date("date")})
+    return drop_if_present(crosstab(facts, ["station", "date"], AEROSOL_VARIABLES), OCEAN_COLUMNS)
