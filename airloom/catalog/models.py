@@ -24,6 +24,7 @@ from airloom.operators.splits import (
     text_hash,
 )
 from airloom.plans.evaluation import (
+    PREDICTED,
     Protocol,
     base_model,
     random_protocol,
@@ -319,6 +320,25 @@ def q_protocol_year(spark, sf):
     return year_protocol(_regression(spark, sf), _protocol(), "l_shipdate").importances
 
 
+@query("protocol_year_scores")
+def q_protocol_year_scores(spark, sf):
+    return year_protocol(_regression(spark, sf), _protocol(), "l_shipdate").scores
+
+
+@query(
+    "held_out_by_year",
+    f"""select {", ".join(LINE_KEY)}, year(l_shipdate) as "Year", round(l_extendedprice, 6) as actual,
+               true as predicted from lineitem""",
+)
+def q_held_out_by_year(spark, sf):
+    """Every row is held out once and predicted."""
+    found = year_protocol(_regression(spark, sf), _protocol(), "l_shipdate").predictions
+    return found.select(
+        *LINE_KEY, F.col("Year").cast("long").alias("Year"), r6("l_extendedprice").alias("actual"),
+        F.col(PREDICTED).isNotNull().alias("predicted"),
+    )
+
+
 @query("protocol_base")
 def q_protocol_base(spark, sf):
     lines = _regression(spark, sf).withColumn("l_tax", F.when(F.col("l_tax") > 0, F.col("l_tax")))
