@@ -2,12 +2,26 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Letters outside ASCII and their plain spelling.
-LETTERS_FROM = "çğıöşüÇĞİÖŞÜâîûÂÎÛáàäãåéèêëíìïóòôõúùñýÁÀÄÃÅÉÈÊËÍÌÏÓÒÔÕÚÙÑÝ"
-LETTERS_TO = "cgiosuCGIOSUaiuAIUaaaaaeeeeiiioooouunyAAAAAEEEEIIIOOOOUUNY"
+# Letters that are no plain letter with a mark, and their plain spelling.
+SINGLE_LETTERS = {"ı": "i", "ø": "o", "Ø": "O", "ł": "l", "Ł": "L", "đ": "d", "Đ": "D", "ð": "d", "Ð": "D"}
+DOUBLE_LETTERS = {"ß": "ss", "æ": "ae", "Æ": "AE", "œ": "oe", "Œ": "OE", "þ": "th", "Þ": "Th"}
+
+
+def _marked_letters() -> dict[str, str]:
+    """Latin letters with marks and the letters they decompose to."""
+    latin = map(chr, [*range(0xC0, 0x250), *range(0x1E00, 0x1F00)])
+    plain = {c: unicodedata.normalize("NFD", c)[0] for c in latin}
+    return {c: p for c, p in plain.items() if p != c and p.isascii()}
+
+
+_LETTERS = {**_marked_letters(), **SINGLE_LETTERS}
+LETTERS_FROM = "".join(_LETTERS)
+LETTERS_TO = "".join(_LETTERS.values())
 
 # The six lower-case letters the coordinate lookup replaces.
 LOOKUP_FROM = "çğıöşü"
@@ -33,7 +47,11 @@ def trimmed(c: Column) -> Column:
 
 
 def plain_letters(c: Column) -> Column:
-    return F.translate(c, LETTERS_FROM, LETTERS_TO)
+    """Latin letters without marks; a mark that follows its letter goes too."""
+    plain = F.regexp_replace(F.translate(c, LETTERS_FROM, LETTERS_TO), r"\p{Mn}", "")
+    for letter, spelt in DOUBLE_LETTERS.items():
+        plain = F.replace(plain, F.lit(letter), F.lit(spelt))
+    return plain
 
 
 def station_key(name: Column) -> Column:

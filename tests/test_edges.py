@@ -44,6 +44,7 @@ def _one(spark, expression):
 
 def test_names(spark):
     assert _one(spark, station_key(F.lit("İSTANBUL  Kadıköy"))) == "istanbul_kadikoy"
+    assert _one(spark, station_key(F.lit("Łódź Ærø Straße Kőbánya čšž e\u0301"))) == "lodz_aero_strasse_kobanya_csz_e"
     assert _one(spark, sheet_key(F.lit("Ağrı - Doğubeyazıt (Merkez) İstasyonu"))) == (
         "agri_dogubeyazit_merkez_istasyonu"[:31]
     )
