@@ -6,8 +6,9 @@ letter pairs in dictionary words), its dictionary coverage, and its path and nei
 hashed. The dictionary and letter pairs come from all documents. The forest is trained from
 labelled findings; ``weak_labels`` makes labels where people have not: provider key formats and
 values assigned to secret names are secrets, digit runs and values after other names are not.
-Training reads at most ``TRAINING_ROWS`` findings, those with the smallest hashes; every finding
-is scored.
+Training reads at most ``TRAINING_ROWS`` findings, of each label those with the smallest hashes: a
+label may fill half of them, and what the other leaves. Both labels weigh the same, however many
+findings they have. Every finding is scored.
 
 A null text has no findings, a null path is empty. Repeated rows give their findings each. An
 empty table gives no rows; with labels of one kind only, that kind is the verdict. Only doc_id,
@@ -189,13 +190,18 @@ def features(found: DataFrame) -> DataFrame:
 
 def classify(found: DataFrame, labelled: DataFrame, rows: int = TRAINING_ROWS) -> DataFrame:
     """``probability`` and ``is_secret`` for every finding, from a forest on labelled ones."""
-    order = F.xxhash64("candidate", "before", "doc_id", "start")
-    sample = materialize(labelled.orderBy(order).limit(rows), "labelled-findings")
-    kinds = [r["label"] for r in sample.select("label").distinct().collect()]
-    if len(kinds) < 2:
-        only = F.lit(kinds[0] if kinds else 0.0)
+    counts = {r["label"]: r["count"] for r in labelled.groupBy("label").count().collect()}
+    if len(counts) < 2:
+        only = F.lit(next(iter(counts), 0.0))
         return found.withColumn("probability", only).withColumn("is_secret", only >= THRESHOLD)
-    forest = RandomForestClassifier(numTrees=20, maxDepth=6, maxBins=16, seed=7)
+    order = F.xxhash64("candidate", "before", "doc_id", "start")
+    parts = []
+    for label, n in sorted(counts.items()):
+        taken = min(n, max(rows // 2, rows - (sum(counts.values()) - n)))
+        part = labelled.filter(F.col("label") == label).orderBy(order).limit(taken)
+        parts.append(part.withColumn("weight", F.lit(1.0 / taken)))
+    sample = materialize(parts[0].unionByName(parts[1]), "labelled-findings")
+    forest = RandomForestClassifier(numTrees=20, maxDepth=6, maxBins=16, seed=7, weightCol="weight")
     model = forest.fit(features(sample))
     scored = model.transform(features(found)).withColumn(
         "probability_", vector_to_array("probability")[1]

@@ -430,6 +430,18 @@ def test_secret_scan(spark):
         assert rows[x["doc_id"]][1][x["start"] : x["end"]] == x["candidate"]
 
 
+def test_rare_secrets_are_trained_on(spark):
+    r = random.Random(12)
+    rows = [(i, f"{prose(9, i)} " + " ".join(f"order {r.randrange(10**15, 10**16)}" for _ in range(200)), "hot") for i in range(20)]
+    values = ["AKIA" + "".join(r.choices("ABCDEFGH2345", k=15)) + "7", *("".join(r.choices("0123456789abcdef", k=40)) for _ in range(3))]
+    rows += [(100 + i, f'{prose(9, -i)} token = "{v}" {prose(9, i)}', "src") for i, v in enumerate(values)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = secret_scan.findings(docs, secret_scan.Language(secret_scan.dictionary(docs)))
+    judged = secret_scan.classify(found, secret_scan.weak_labels(found), rows=50)
+    assert judged.count() == 4004
+    assert {x["candidate"] for x in judged.filter("is_secret").collect()} == set(values)
+
+
 @pytest.mark.parametrize(
     "run",
     [
