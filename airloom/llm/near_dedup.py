@@ -295,24 +295,28 @@ def classes(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Dat
 
     pairs = crowded.filter(F.col("doc_id") != F.col("centre"))
     pairs = pairs.select(F.col("centre").alias("a"), F.col("doc_id").alias("b")).distinct()
-    tried, links, rounds = None, None, 0
+    tried, links, rounds, every = None, None, 0, False
     while True:
         pairs = materialize(pairs, "pairs")
-        if pairs.isEmpty():
+        if not pairs.isEmpty():
+            likely = materialize(_likely(pairs, sketches, near), "likely")
+            new = materialize(_confirmed(likely, docs, size, percent).distinct(), "links")
+            tried = pairs if tried is None else tried.unionByName(pairs)
+            links = new if links is None else links.unionByName(new)
+            found = materialize(components(links), "components")
+            label = F.coalesce("component", "doc_id").alias("label")
+            members = crowded.join(found, F.col("doc_id") == F.col("node"), "left").select(
+                "b", "doc_id", "size", label
+            )
+            members = materialize(members, "members")
+            mixed_ = members.groupBy("b").agg(F.min("label").alias("x"), F.max("label").alias("y"))
+            members = members.join(mixed_.filter(F.col("x") < F.col("y")).select("b"), "b", "left_semi")
+            every = rounds >= FORESTS
+        elif tried is None or every:
             break
-        likely = materialize(_likely(pairs, sketches, near), "likely")
-        new = materialize(_confirmed(likely, docs, size, percent).distinct(), "links")
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        links = new if links is None else links.unionByName(new)
-        found = materialize(components(links), "components")
-        label = F.coalesce("component", "doc_id").alias("label")
-        members = crowded.join(found, F.col("doc_id") == F.col("node"), "left").select(
-            "b", "doc_id", "size", label
-        )
-        members = materialize(members, "members")
-        mixed_ = members.groupBy("b").agg(F.min("label").alias("x"), F.max("label").alias("y"))
-        members = members.join(mixed_.filter(F.col("x") < F.col("y")).select("b"), "b", "left_semi")
-        every = rounds >= FORESTS
+        else:
+            # The best edges were all tried; others of the same buckets may not have been.
+            every = True
         pairs = _pairs_of_small(members).unionByName(_pairs_of_large(members, sketches, near, every))
         pairs = pairs.distinct().join(tried, ["a", "b"], "left_anti")
         rounds += 1

@@ -157,6 +157,25 @@ def test_near_dedup(docs, size, percent, monkeypatch):
         assert (r["n_shingles"], r["component_id"]) == (len(sets[r["doc_id"]]), wanted[r["doc_id"]])
 
 
+def test_links_beside_refused_best_edges(spark, monkeypatch):
+    # The smallest of a bucket is a little too far from two others, which are linked.
+    monkeypatch.setattr(near_dedup, "SMALL", 1)
+    monkeypatch.setattr(near_dedup, "BANDS", 2)
+    monkeypatch.setattr(near_dedup, "_SEEDS", near_dedup._SEEDS[: 2 * near_dedup.ROWS])
+    r = random.Random(11)
+    base = [f"w{r.randrange(10**9)}" for _ in range(1800)]
+    texts = [" ".join(base)]
+    for name in "xy":
+        words = list(base)
+        for i in range(49):
+            words[20 + 36 * i] = f"{name if i else 'same'}{i}"
+        texts.append(" ".join(words))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    wanted = components_of({i: shingles(t, 3) for i, t in enumerate(texts)}, 85)
+    assert wanted == {0: 0, 1: 1, 2: 1}
+    assert {r["doc_id"]: r["component_id"] for r in near_dedup.classes(docs).collect()} == wanted
+
+
 @pytest.mark.parametrize("n", [12, 60, 170, 650, 3000, 20000])
 def test_odd_sketches_keep_links_and_drop_others(n):
     r = np.random.default_rng(n)
