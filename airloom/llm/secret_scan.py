@@ -1,11 +1,13 @@
 """Secret scans: candidates by pattern, false positives removed by a random forest.
 
-Every run of at least ``MIN_LENGTH`` key characters with a digit is a finding. Its features are
-its length, its character transitions (changes of class, and the mean log probability of its
-letter pairs in dictionary words), its dictionary coverage, and its path and neighbouring words,
+Every run of at least ``MIN_LENGTH`` key characters with a digit is a finding, and so is every value
+assigned to a secret name, whatever its length and characters: what is between quotes on a line, or
+else all up to white space, without closing marks. A value inside another is part of it. Features are
+the length, the character transitions (changes of class, and the mean log probability of its
+letter pairs in dictionary words), the dictionary coverage, and the path and neighbouring words,
 hashed. The dictionary and letter pairs come from all documents. The forest is trained from
 labelled findings; ``weak_labels`` makes labels where people have not: provider key formats and
-values assigned to secret names are secrets, digit runs and values after other names are not.
+values with a digit assigned to secret names are secrets, digit runs and values after other names are not.
 Training reads at most ``TRAINING_ROWS`` findings, of each label those with the smallest hashes: a
 label may fill half of them, and what the other leaves. Both labels weigh the same, however many
 findings they have. Every finding is scored.
@@ -44,6 +46,13 @@ KEY = re.compile(rf"[A-Za-z0-9_/+=-]{{{MIN_LENGTH},}}")
 # Provider formats, names of secrets and of things that look like them.
 PROVIDER = r"^(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|sk_live_[A-Za-z0-9]{16,}|xox[abprs]-.{10,})$"
 SECRET_NAMES = r"(?i)(token|secret|passw(or)?d|api_?key|credential)[\"' ]*[:=][\"' ]*$"
+#: What makes a text worth searching for ASSIGNED.
+NAMED = ("token", "secret", "passw", "api", "credential")
+ASSIGNED = re.compile(
+    r"""(?:token|secret|passw(?:or)?d|api_?key|credential)["' ]*[:=]+ *"""
+    r"""(?:(["'])(?P<quoted>(?:\\.|(?!\1)[^\\\n])+)\1|["']?(?P<bare>[^\s"']\S*))""",
+    re.IGNORECASE,
+)
 OTHER_NAMES = r"(?i)(sha(1|256)?|md5|checksum|commit|revision|uuid|order|invoice|id)[\"' ]*[:=][\"' ]*$"
 
 NUMBERS = [
@@ -95,8 +104,9 @@ class Language:
         self.words = set(words)
 
     def pair_score(self, text: str) -> float:
-        codes = np.frombuffer(text.lower().encode(), np.uint8)
-        return float(self.pairs[codes[:-1], codes[1:]].mean())
+        # Beyond ASCII all bytes count as one.
+        codes = np.minimum(np.frombuffer(text.lower().encode(), np.uint8), 127)
+        return float(self.pairs[codes[:-1], codes[1:]].mean() if len(codes) > 1 else self.pairs.mean())
 
     def coverage(self, text: str) -> float:
         """Share of characters in dictionary words, longest first from the left."""
@@ -116,6 +126,29 @@ def _entropy(text: str) -> float:
     return -sum(n / len(text) * math.log2(n / len(text)) for n in Counter(text).values())
 
 
+def _places(text: str) -> list[tuple[int, int]]:
+    """Bounds of all candidates: runs of key characters, and values assigned to secret names."""
+    found = set()
+    for m in KEY.finditer(text):
+        value = m.group()
+        if not any(c.isdigit() for c in value):
+            continue
+        # A name glued on by = belongs to the context.
+        rest = value.rpartition("=")[2] if "=" in value.rstrip("=") else value
+        if len(rest) < MIN_LENGTH:
+            rest = value
+        found.add((m.end() - len(rest), m.end()))
+    low = text.lower()
+    if any(name in low for name in NAMED):
+        for m in ASSIGNED.finditer(text):
+            if m["quoted"]:
+                found.add(m.span("quoted"))
+            else:
+                value = m["bare"].rstrip("\"',;.)]}>") or m["bare"]
+                found.add((m.start("bare"), m.start("bare") + len(value)))
+    return sorted(found)
+
+
 def findings(docs: DataFrame, language: Language, path: str = "source") -> DataFrame:
     """All candidates with place, context and numeric features."""
     shared = docs.sparkSession.sparkContext.broadcast(language)
@@ -128,22 +161,15 @@ def findings(docs: DataFrame, language: Language, path: str = "source") -> DataF
             for doc, text, where in zip(
                 *(batch.column(c).to_pylist() for c in ("doc_id", "text", "path")), strict=True
             ):
-                for m in KEY.finditer(text or ""):
-                    value = m.group()
-                    if not any(c.isdigit() for c in value):
-                        continue
-                    # A name glued on by = belongs to the context.
-                    name, sign, rest = value.rpartition("=") if "=" in value.rstrip("=") else ("", "", value)
-                    if len(rest) < MIN_LENGTH:
-                        name, sign, rest = "", "", value
-                    start = m.end() - len(rest)
+                for start, end in _places(text or ""):
+                    rest = text[start:end]
                     before = text[max(0, start - 40) : start]
-                    after = text[m.end() : m.end() + 40]
+                    after = text[end : end + 40]
                     kinds = _kinds(rest)
                     n = len(rest)
                     rows.append(
                         (
-                            doc, start, m.end(), rest, where or "", before,
+                            doc, start, end, rest, where or "", before,
                             (re.findall(r"\w+", before) or [""])[-1].lower(),
                             (re.findall(r"\w+", after) or [""])[0].lower(),
                             float(n), *(kinds.count(k) / n for k in "dulo"),
@@ -167,7 +193,8 @@ def findings(docs: DataFrame, language: Language, path: str = "source") -> DataF
 
 def weak_labels(found: DataFrame) -> DataFrame:
     """Findings that rules decide: ``label`` 1 for secrets, 0 for others."""
-    secret = F.col("candidate").rlike(PROVIDER) | F.col("before").rlike(SECRET_NAMES)
+    assigned = F.col("before").rlike(SECRET_NAMES) & F.col("candidate").rlike("[0-9]")
+    secret = F.col("candidate").rlike(PROVIDER) | assigned
     other = F.col("candidate").rlike(r"^[0-9 -]+$") | F.col("before").rlike(OTHER_NAMES)
     label = F.when(secret, 1.0).when(other, 0.0)
     return found.withColumn("label", label).filter(F.col("label").isNotNull())

@@ -461,6 +461,18 @@ def test_rare_secrets_are_trained_on(spark):
     assert {x["candidate"] for x in judged.filter("is_secret").collect()} == set(values)
 
 
+def test_assigned_values_of_any_kind_are_findings(spark):
+    key = "0123456789abcdef0123"
+    texts = ["password = hunter2.", 'api_key: "p@ss wörd"', "Secret='x'", "token=correcthorse, then", f'token = "{key}"', 'password = "" # none']
+    rows = [(i, t, "src") for i, t in enumerate(texts)] + [(9, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = secret_scan.findings(docs, secret_scan.Language({}))
+    wanted = [(0, "hunter2"), (1, "p@ss wörd"), (2, "x"), (3, "correcthorse"), (4, key)]
+    assert sorted((x["doc_id"], x["candidate"]) for x in found.collect()) == wanted
+    assert all(texts[x["doc_id"]][x["start"] : x["end"]] == x["candidate"] for x in found.collect())
+    assert secret_scan.classify(found, secret_scan.weak_labels(found)).count() == 5
+
+
 @pytest.mark.parametrize(
     "run",
     [
