@@ -29,15 +29,35 @@ def _powers(n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
+#: Words are hashed together byte by byte up to this length, what is left of longer ones at once.
+_TOGETHER = 64
+
+
 def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A hash for each byte range; equal bytes, equal hash."""
-    if not len(start):
-        return np.zeros(0, np.uint64)
+    """A hash for each byte range; equal bytes, equal hash.
+
+    Memory is a few numbers a word, and a few numbers a byte of words above ``_TOGETHER`` bytes.
+    """
     length = end - start
-    begin = np.cumsum(length) - length
-    within = np.arange(int(length.sum())) - np.repeat(begin, length)
-    terms = _BYTES[data[np.repeat(start, length) + within]] * _powers(int(length.max()))[within]
-    return mixed(np.add.reduceat(terms, begin) + length.astype(np.uint64) * _M)
+    order = np.argsort(-length, kind="stable")
+    first, sizes = start[order], length[order]
+    total = np.zeros(len(start), np.uint64)
+    power = _powers(int(sizes[0]) if len(sizes) else 0)
+    longer = np.searchsorted(-sizes, -np.arange(_TOGETHER), "left")
+    for i, n in enumerate(longer.tolist()):
+        if not n:
+            break
+        total[:n] += _BYTES[data[first[:n] + i]] * power[i]
+    n = int(np.searchsorted(-sizes, -_TOGETHER, "left"))
+    if n:
+        rest = sizes[:n] - _TOGETHER
+        begin = np.cumsum(rest) - rest
+        within = np.arange(int(rest.sum())) - np.repeat(begin, rest) + _TOGETHER
+        terms = _BYTES[data[np.repeat(first[:n], rest) + within]] * power[within]
+        total[:n] += np.add.reduceat(terms, begin)
+    out = np.empty_like(total)
+    out[order] = mixed(total + sizes.astype(np.uint64) * _M)
+    return out
 
 
 def grams(hashes: np.ndarray, k: int) -> np.ndarray:
