@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from airloom.llm import (
-    chat, decontaminate, near_dedup, pieces, pii, quality, secret_scan, substring_dedup, suffix_dedup,
-    token_counts,
+    chat, decontaminate, near_dedup, packing, periodic_runs, pieces, pii, quality, secret_scan,
+    substring_dedup, suffix_dedup, token_counts,
 )
 from airloom.llm.common import Query
 
@@ -19,6 +19,8 @@ QUERIES: dict[str, Query] = {
     "op8_sentencepiece": pieces.op8_sentencepiece,
     "op9_quality_rules": quality.op9_quality_rules,
     "op10_secret_scan": secret_scan.op10_secret_scan,
+    "op11_vector_packing": packing.op11_vector_packing,
+    "op12_periodic_runs": periodic_runs.op12_periodic_runs,
 }
 
 #: The others are tested against brute force.
@@ -28,4 +30,5 @@ SQL: dict[str, str] = {
     "op4_substring_dedup": substring_dedup.SQL,
     "op5_minhash_near_dedup": near_dedup.SQL,
     "op9_quality_rules": quality.SQL,
+    "op12_periodic_runs": periodic_runs.SQL,
 }
