@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from airloom.llm import (
-    chat, decontaminate, near_dedup, packing, periodic_runs, pieces, pii, quality, secret_scan,
-    substring_dedup, suffix_dedup, token_counts,
+    chat, decontaminate, near_dedup, packing, periodic_runs, pieces, pii, quality, repair,
+    secret_scan, substring_dedup, suffix_dedup, token_counts,
 )
 from airloom.llm.common import Query
 
@@ -21,6 +21,7 @@ QUERIES: dict[str, Query] = {
     "op10_secret_scan": secret_scan.op10_secret_scan,
     "op11_vector_packing": packing.op11_vector_packing,
     "op12_periodic_runs": periodic_runs.op12_periodic_runs,
+    "op13_structure_repair": repair.op13_structure_repair,
 }
 
 #: The others are tested against brute force.
@@ -31,4 +32,5 @@ SQL: dict[str, str] = {
     "op5_minhash_near_dedup": near_dedup.SQL,
     "op9_quality_rules": quality.SQL,
     "op12_periodic_runs": periodic_runs.SQL,
+    "op13_structure_repair": repair.SQL,
 }
