@@ -157,7 +157,7 @@ class Packer:
     def add(self, item: Item) -> Iterator[list[Item]]:
         while len(item):
             k = item.reach(self.limits.tokens, self.limits.loss)
-            head, item = item.split(k)
+            head, item = item.split(k) if k < len(item) else (item, item.split(k)[1])
             if k == self.limits.tokens:
                 yield [head]
             else:
@@ -168,51 +168,69 @@ class Packer:
     def pack(self, leave: int = 0) -> Iterator[list[Item]]:
         """Sequences until at most ``leave`` items wait."""
         while len(self.items) > leave:
-            yield self._fill()
-
-    def _fill(self) -> list[Item]:
+            # Demands as arrays, with room for what cutting adds: at most two items a segment.
+            n, more = len(self.items), 2 * self.limits.segments
+            room = n + max(n, 2 * more)
+            self.size, self.loss = np.zeros((2, room), np.int64)
+            self.size[:n] = [len(i) for i in self.items]
+            self.loss[:n] = [i.n_loss() for i in self.items]
+            self.free = np.arange(room) < n
+            demand = self.size[:n].mean() / self.limits.tokens, self.loss[:n].mean() / self.limits.loss
+            while len(self.items) + more <= room and self.free.sum() > leave:
+                yield self._fill(demand)
+            self.items = [i for i, f in zip(self.items, self.free.tolist(), strict=False) if f]
+
+    def _wait(self, item: Item) -> None:
+        at = len(self.items)
+        self.items.append(item)
+        self.size[at], self.loss[at], self.free[at] = len(item), item.n_loss(), True
+
+    def _fill(self, demand: tuple[float, float]) -> list[Item]:
         most = self.limits
-        items = self.items
-        size = np.array([len(i) for i in items])
-        loss = np.array([i.n_loss() for i in items])
-        demand = np.stack([size / most.tokens, np.full(len(size), 1 / most.segments), loss / most.loss])
-        weight = demand.mean(axis=1)
-        free = np.ones(len(items), bool)
         tokens, segments, losses = most.tokens, most.segments, most.loss
         chosen: list[Item] = []
-        while tokens and segments and free.any():
+        while tokens and segments:
+            n = len(self.items)
+            size, loss, free = self.size[:n], self.loss[:n], self.free[:n]
             fits = free & (size <= tokens) & (loss <= losses)
             if segments == 1:
                 fits &= size == tokens
-            if fits.any():
-                left = np.array([tokens / most.tokens, segments / most.segments, losses / most.loss])
-                at = int(np.argmax(np.where(fits, (weight * left) @ demand, -1.0)))
-                piece, rest = items[at], None
+            # Every item asks for one segment, so that dimension's share of the product is the same
+            # for all and only counts in whether there is one left.
+            value = size * (demand[0] * tokens / most.tokens**2) + loss * (demand[1] * losses / most.loss**2)
+            value[~fits] = -1.0
+            at = int(value.argmax()) if n else 0
+            if n and fits[at]:
+                piece, rest = self.items[at], None
             else:
-                # None fits whole: of those that give the most, the longest is cut.
-                able = np.flatnonzero(free).tolist()
-                reach = [(items[i].reach(tokens, losses), int(size[i])) for i in able]
-                k, _ = best = max(reach)
+                at, k = self._longest_start(tokens, losses)
                 if not k:
                     break
-                at = able[reach.index(best)]
-                piece, rest = items[at].split(k)
+                piece, rest = self.items[at].split(k)
             free[at] = False
             chosen.append(piece)
             tokens -= len(piece)
             segments -= 1
             losses -= piece.n_loss()
             if rest is not None and len(rest):
-                items.append(rest)
-                size, loss, free = np.append(size, len(rest)), np.append(loss, rest.n_loss()), np.append(free, True)
-                column = [[len(rest) / most.tokens], [1 / most.segments], [rest.n_loss() / most.loss]]
-                demand = np.hstack([demand, column])
-        self.items = [i for i, f in zip(items, free.tolist(), strict=True) if f]
-        held = sum(map(len, chosen))
-        if held < most.tokens:
-            self.items += self._cut_back(chosen, held - (1 << (held.bit_length() - 1)))
+                self._wait(rest)
+        held = most.tokens - tokens
+        if tokens and held:
+            for item in self._cut_back(chosen, held - (1 << (held.bit_length() - 1))):
+                self._wait(item)
         return chosen
 
+    def _longest_start(self, tokens: int, losses: int) -> tuple[int, int]:
+        """The item to cut and how many ids it gives: the most, and of those the longest item."""
+        n = len(self.items)
+        size, loss, free = self.size[:n], self.loss[:n], self.free[:n]
+        sure = free & (size >= tokens) & ((loss <= losses) | (tokens <= losses))
+        if sure.any():
+            return int(np.where(sure, size, -1).argmax()), tokens
+        reach = [(self.items[i].reach(tokens, losses), int(size[i]), -i) for i in np.flatnonzero(free).tolist()]
+        k, _, at = max(reach, default=(0, 0, 0))
+        return -at, k
+
     @staticmethod
     def _cut_back(chosen: list[Item], excess: int) -> list[Item]:
         """Takes so many ids off the end of a sequence."""
@@ -253,10 +271,9 @@ def pack(
             ):
                 ids = encoder.ids(text or "")
                 if spans is None:
-                    flags = np.arange(len(ids)) > 0
+                    running = _all_but_first(len(ids))
                 else:
-                    flags = trained(text or "", ids, encoder.widths, own)
-                running = np.concatenate([[0], np.cumsum(flags)])
+                    running = np.append(0, np.cumsum(trained(text or "", ids, encoder.widths, own)))
                 yield from packer.add(Item(doc, 0, ids, running, len(ids)))
 
         for batch in slices(batches):
@@ -268,6 +285,11 @@ def pack(
     return given.mapInArrow(run, SCHEMA)
 
 
+def _all_but_first(n: int) -> np.ndarray:
+    """The running count where only the first id bears no loss."""
+    return np.maximum(np.arange(-1, n), 0)
+
+
 def _table(rows: list[tuple]) -> pa.RecordBatch:
     names = ["doc_id", "start", "length", "ids", "n_loss", "doc_tokens", "sequence_id", "offset", "segment"]
     kinds = [pa.int64()] * 3 + [pa.binary()] + [pa.int64()] * 4 + [pa.int32()]
