@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from airloom.catalog.base import observations, query, r6, table
+from airloom.catalog.boost_sql import boosted
 from airloom.catalog.cleaning import LINE_KEY
 from airloom.functions.dates import season
 from airloom.operators.boosting import Boosting, mean_importances, top_features
@@ -26,13 +27,11 @@ from airloom.operators.splits import (
 from airloom.plans.evaluation import (
     PREDICTED,
     Protocol,
-    base_model,
     random_protocol,
     season_protocol,
     station_protocol,
     year_protocol,
 )
-from airloom.session import fresh_path
 
 
 def _hash_sql(key: str) -> str:
@@ -278,74 +277,124 @@ def q_top_features(spark, sf):
     )
 
 
+LINE_ORDER = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+HASHED = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+
+#: Trees that SQL can be held against: whole features, no sampling.
+CHECKED = Boosting(rounds=2, depth=2, rate=0.3, row_share=1.0, column_share=1.0)
+
+
 def _regression(spark, sf):
-    """Lines as station-days: price to predict from quantity, discount and tax."""
-    lines = table(spark, sf, "lineitem").select(*LINE_KEY, "l_quantity", "l_discount", "l_tax")
-    region = table(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
-    nation = table(spark, sf, "nation").select("n_nationkey", F.col("n_regionkey").alias("station"))
-    placed = lines.join(region, F.col("l_suppkey") == F.col("s_suppkey"))
-    return placed.join(nation, F.col("s_nationkey") == F.col("n_nationkey")).drop(
-        "s_suppkey", "s_nationkey", "n_nationkey"
-    )
+    """Lines as days of a station, its supplier: price to predict from quantity, discount, tax."""
+    return table(spark, sf, "lineitem").select(*LINE_KEY, "l_quantity", "l_discount", "l_tax")
 
 
-def _protocol(**more) -> Protocol:
+def _protocol(setting: Boosting = CHECKED, **more) -> Protocol:
     return Protocol(
-        target="l_extendedprice",
-        keys=LINE_KEY,
-        order_by=["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"],
-        features=["l_quantity", "l_discount", "l_tax"],
-        setting=Boosting(rounds=3, depth=3, rate=0.3, bins=64),
-        **more,
+        target="l_extendedprice", keys=LINE_KEY, order_by=LINE_ORDER,
+        features=["l_quantity", "l_discount", "l_tax"], setting=setting, order=text_hash(HASHED), **more,
     )
 
 
-@query("protocol_random")
+_FEATURES = ["l_quantity", "l_discount", "l_tax"]
+_HASH = "('0x' || substr(md5(concat_ws('|', " + ", ".join(HASHED) + ", '42')), 1, 13))::bigint"
+_PLACE = f"order by {_HASH}, {', '.join(LINE_KEY)}"
+#: Rows numbered, and the part that each protocol gives them.
+_SPLIT_SQL = f"""rows as materialized (select *, row_number() over () as id, year(l_shipdate) as "Year",
+    month(l_shipdate) as "Month", {_SEASON_SQL.replace("o_orderdate", "l_shipdate")} as "Season" from lineitem),
+  given as materialized (select *, {{part}} as part from rows)"""
+_PARTS_SQL = {
+    "random": f"case when row_number() over ({_PLACE}) <= ceil(count(*) over () * 0.2) then -1 else 0 end",
+    "season": f"""case when row_number() over (partition by "Season" {_PLACE})
+        <= round_even(count(*) over (partition by "Season") * 0.2::double, 0) then -1 else 0 end""",
+    "station": "l_suppkey",
+    "year": '"Year"',
+}
+
+
+def _protocol_sql(kind: str, final: str, setting: Boosting = CHECKED) -> str:
+    extra = {"random": ["\"Year\""], "season": ["\"Month\""]}.get(kind, [])
+    models = "select -1 as m" if extra else "select distinct part as m from given"
+    trees = boosted("given", [*_FEATURES, *extra], "l_extendedprice", setting, models)
+    return f"with {_SPLIT_SQL.format(part=_PARTS_SQL[kind])},\n{trees},\n{final}"
+
+
+_ACTUAL = "l_extendedprice as y, predicted as p"
+_OVER = ", ".join(LINE_ORDER)
+
+
+def _scored_sql(group: str, percent: bool) -> str:
+    """Long scores per group and overall."""
+    scale = " * 100" if percent else ""
+    scores = SCORES_SQL.replace(" as mape", f"{scale} as mape")
+    return f"""s as (select {group} as station, {_ACTUAL}, lag(l_extendedprice) over (partition by {group} order by {_OVER}) as previous
+              from given join predicted using (id)),
+        g as (select station, {scores} from s group by 1),
+        o as (select {_ACTUAL}, lag(l_extendedprice) over (order by {group}, {_OVER}) as previous from given join predicted using (id)),
+        w as (select {scores} from o)
+        {long_scores("g", "station::varchar")} union all {long_scores("w", "'Overall'")}"""
+
+
+def _shares_sql(label: str, rounds: int) -> str:
+    """Mean gain per split of a feature as a share, per model."""
+    splits = " union all ".join(f"select m, c, gain from k{t}_{level}" for t in range(rounds) for level in range(CHECKED.depth))
+    names = ", ".join(f"({i}, '{f}')" for i, f in enumerate(_FEATURES))
+    return f"""shares as (select m, name, coalesce(avg(gain), 0) as mean from models cross join (values {names}) as n(c, name)
+          left join ({splits}) k using (m, c) group by m, name)
+        select {label}, name as "Feature", round(mean / sum(mean) over (partition by m), 6) as "Importance" from shares"""
+
+
+@query("protocol_random", _protocol_sql("random", _scored_sql("l_suppkey", False)))
 def q_protocol_random(spark, sf):
-    return random_protocol(_regression(spark, sf), _protocol(), "station", "l_shipdate").scores
+    found = random_protocol(_regression(spark, sf), _protocol(), "l_suppkey", "l_shipdate").scores
+    return _long(found, "l_suppkey")
+
 
+def _long(scores, group):
+    return scores.select(F.col(group).alias("station"), "Metric", r6("Value").alias("Value"))
 
-@query("protocol_season")
+
+@query(
+    "protocol_season",
+    _protocol_sql("season", f"""s as (select "Season", {_ACTUAL}, lag(l_extendedprice) over (partition by "Season" order by {_OVER}) as previous
+              from given join predicted using (id))
+        select "Season", round(sqrt(avg((y - p) * (y - p))), 4) as "RMSE", round(avg(abs(y - p) / abs(y)) * 100, 4) as "MAPE",
+               round(avg(abs(y - p)) / avg(abs(y - previous)), 4) as "MASE",
+               round(1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)), 4) as "R2" from s group by 1"""),
+)
 def q_protocol_season(spark, sf):
-    return season_protocol(_regression(spark, sf), _protocol(), "l_shipdate").scores
+    scores = season_protocol(_regression(spark, sf), _protocol(), "l_shipdate").scores
+    return scores.select("Season", *[F.round(m, 4).alias(m) for m in ("RMSE", "MAPE", "MASE", "R2")])
 
 
-@query("protocol_station")
+@query("protocol_station", _protocol_sql("station", _scored_sql("l_suppkey", True)))
 def q_protocol_station(spark, sf):
-    return station_protocol(_regression(spark, sf), _protocol(), "station").scores
+    """Every supplier predicted from all others."""
+    found = station_protocol(_regression(spark, sf), _protocol(), "l_suppkey").scores
+    return _long(found, "l_suppkey")
 
 
-@query("protocol_year")
+@query("protocol_year", _protocol_sql("year", _shares_sql('m::varchar as "Year"', CHECKED.rounds)))
 def q_protocol_year(spark, sf):
-    return year_protocol(_regression(spark, sf), _protocol(), "l_shipdate").importances
+    shares = year_protocol(_regression(spark, sf), _protocol(), "l_shipdate").importances
+    return shares.select("Year", "Feature", r6("Importance").alias("Importance"))
 
 
-@query("protocol_year_scores")
+@query("protocol_year_scores", _protocol_sql("year", _scored_sql('"Year"', True)))
 def q_protocol_year_scores(spark, sf):
-    return year_protocol(_regression(spark, sf), _protocol(), "l_shipdate").scores
+    found = year_protocol(_regression(spark, sf), _protocol(), "l_shipdate").scores
+    return _long(found, "Year")
 
 
 @query(
     "held_out_by_year",
-    f"""select {", ".join(LINE_KEY)}, year(l_shipdate) as "Year", round(l_extendedprice, 6) as actual,
-               true as predicted from lineitem""",
+    _protocol_sql("year", f"""last as (select 1) select {", ".join(LINE_KEY)}, "Year"::bigint as "Year",
+        round(l_extendedprice, 6) as actual, round(predicted, 4) as predicted from given join predicted using (id)"""),
 )
 def q_held_out_by_year(spark, sf):
-    """Every row is held out once and predicted."""
+    """Every row is held out once and predicted by the model of the other years."""
     found = year_protocol(_regression(spark, sf), _protocol(), "l_shipdate").predictions
     return found.select(
         *LINE_KEY, F.col("Year").cast("long").alias("Year"), r6("l_extendedprice").alias("actual"),
-        F.col(PREDICTED).isNotNull().alias("predicted"),
+        F.round(PREDICTED, 4).alias("predicted"),
     )
-
-
-@query("protocol_base")
-def q_protocol_base(spark, sf):
-    lines = _regression(spark, sf).withColumn("l_tax", F.when(F.col("l_tax") > 0, F.col("l_tax")))
-    return base_model(lines, _protocol(), ["l_discount"], fresh_path(spark, "base-model"))
-
-
-@query("grid_search")
-def q_grid_search(spark, sf):
-    protocol = _protocol(grid={"depth": [2, 3], "rate": [0.1, 0.3]}, folds=2)
-    return random_protocol(_regression(spark, sf), protocol, "station", "l_shipdate").importances

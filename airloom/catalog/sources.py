@@ -19,7 +19,7 @@ from airloom.catalog.base import (
 )
 from airloom.catalog.models import SCORES_SQL, Y_SQL, long_scores
 from airloom.operators.assemble import dedup_dimension, union_by_name
-from airloom.operators.boosting import Boosting, assemble, fit, load_model, predict, save_model
+from airloom.operators.boosting import Boosting, fit, load_model, predict, save_model
 from airloom.operators.calendar import daily_mean
 from airloom.operators.metrics import score_table
 from airloom.operators.reshape import AEROSOL_VARIABLES
@@ -355,14 +355,14 @@ def q_model_store(spark, sf):
     lines = table(spark, sf, "lineitem")
     features, target = ["l_quantity", "l_discount"], "l_extendedprice"
     scale = fit_scale(lines, [*features, target])
-    model = fit(assemble(lines, features, scale, target), Boosting(rounds=2, depth=2, rate=0.3))
-    save_model(spark, model, scale, features, target, path)
-    loaded, scale, features, target = load_model(spark, path)
-    rows = [(c, "target" if c == target else "feature", *scale[c]) for c in [*features, target]]
+    setting = Boosting(rounds=3, depth=3, rate=0.3)
+    model = fit(lines, ["l_orderkey", "l_linenumber"], features, target, setting, scale)
+    save_model(spark, model, scale, target, path)
+    loaded, scale, target = load_model(spark, path)
+    rows = [(c, "target" if c == target else "feature", *scale[c]) for c in [*loaded.features, target]]
     found = spark.createDataFrame(rows, "column string, role string, mean double, deviation double")
-    vectors = assemble(lines, features, scale, target)
-    both = predict(model, vectors, target, scale, "first").select("first", *features)
-    again = predict(loaded, assemble(both, features, scale, None), target, scale, "second")
+    both = predict(model, lines.select(*features), target, scale, "first")
+    again = predict(loaded, both, target, scale, "second")
     # The loaded model predicts what the saved one did, and not the same for all rows.
     gap = again.agg(F.max(F.abs(F.col("first") - F.col("second"))), F.stddev_pop("second") > 0)
     check = gap.toDF("mean", "varies").select(

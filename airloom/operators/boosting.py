@@ -2,22 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
-
-from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass, replace
+from itertools import product
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from airloom.operators.scaling import Scale, scaled, unscaled
-from airloom.operators.splits import SEED
-from airloom.session import scratch_root
+from airloom.operators import trees as T
+from airloom.operators.scaling import Scale, unscaled
+from airloom.operators.splits import k_folds
+from airloom.operators.trees import Boosting, Forest, Model, grow
+from airloom.session import materialize
+
+__all__ = ["Boosting", "GRID", "Fitted", "fit", "fit_parts", "load_model", "mean_importances", "predict", "save_model", "search", "settings_of", "top_features"]
 
-# The chosen setting, and the grid it was chosen from.
+# The grid the chosen setting comes from.
 TOP_FEATURES = 20
 GRID = {
     "rounds": [500, 1000, 2000, 5000],
@@ -25,136 +27,120 @@ GRID = {
     "rate": [0.01, 0.1, 0.3],
     "row_share": [0.7, 0.8, 0.9],
     "column_share": [0.7, 0.8, 0.9],
+    "l1": [0.1, 0.5, 1.0],
+    "l2": [0.1, 0.5, 1.0],
     "bins": [256, 512],
-    "min_gain": [0.0, 0.1, 1.0],
+    "min_gain": [1.0, 10.0],
 }
 
-_FEATURES = "features"
-_LABEL = "label"
+#: A part that a model leaves out, none for a model of all rows.
+Part = int | None
 
 
 @dataclass(frozen=True)
-class Boosting:
-    """Training setting. Regularisation terms of other boosters have no counterpart here;
-    ``min_gain`` is the least gain a split must bring."""
-
-    rounds: int = 5000
-    depth: int = 9
-    rate: float = 0.01
-    row_share: float = 0.7
-    column_share: float = 0.7
-    bins: int = 512
-    min_gain: float = 0.0
-    seed: int = SEED
-
-    def estimator(self) -> GBTRegressor:
-        return GBTRegressor(
-            featuresCol=_FEATURES,
-            labelCol=_LABEL,
-            maxIter=self.rounds,
-            maxDepth=self.depth,
-            stepSize=self.rate,
-            subsamplingRate=self.row_share,
-            featureSubsetStrategy=str(self.column_share),
-            maxBins=self.bins,
-            minInfoGain=self.min_gain,
-            seed=self.seed,
-            checkpointInterval=10,
-        )
-
-
-_PARAMS = {
-    "rounds": "maxIter",
-    "depth": "maxDepth",
-    "rate": "stepSize",
-    "row_share": "subsamplingRate",
-    "column_share": "featureSubsetStrategy",
-    "bins": "maxBins",
-    "min_gain": "minInfoGain",
-}
+class Fitted:
+    """One model: its trees, what they read and how deep they are."""
 
+    trees: DataFrame
+    features: list[str]
+    depth: int
 
-def assemble(
-    df: DataFrame, features: Sequence[str], scale: Scale, target: str | None, nulls: str = "skip"
-) -> DataFrame:
-    """Scaled features as a vector and the scaled target as the label.
 
-    ``nulls="skip"`` drops incomplete rows. ``nulls="keep"`` adds an indicator per feature, so
-    that trees can tell a missing one, whose value is the mean, from all present ones.
-    """
-    names = [f"__f{i}" for i in range(len(features))]
-    cells = [F.nanvl(scaled(c, scale), F.lit(None)) for c in features]
-    if nulls == "keep":
-        gaps = [c.isNull().cast("double") for c in cells]
-        cells = [F.coalesce(c, F.lit(0.0)) for c in cells] + gaps
-        names += [f"__g{i}" for i in range(len(features))]
-    out = df.select("*", *[c.alias(n) for c, n in zip(cells, names)])
-    if target is not None:
-        out = out.withColumn(_LABEL, scaled(target, scale)).where(f"{_LABEL} is not null")
-    assembler = VectorAssembler(inputCols=names, outputCol=_FEATURES, handleInvalid="skip")
-    return assembler.transform(out).drop(*names)
+def settings_of(base: Boosting, grid: dict[str, Sequence]) -> list[Boosting]:
+    """Every combination of the grid's values, the last axis fastest."""
+    return [replace(base, **dict(zip(grid, values, strict=True))) for values in product(*grid.values())]
+
 
+def fit(
+    df: DataFrame, keys: Sequence[str], features: Sequence[str], target: str, setting: Boosting, scale: Scale
+) -> Fitted:
+    """A model of all rows with a target; missing features are allowed."""
+    forest = grow(df, keys, features, target, [Model(setting, *scale[target])], F.lit(0))
+    return Fitted(forest.trees, forest.features, setting.depth)
 
-def fit(train: DataFrame, setting: Boosting) -> GBTRegressionModel:
-    scratch_root(train.sparkSession)
-    return setting.estimator().fit(train.select(_FEATURES, _LABEL))
+
+def fit_parts(
+    df: DataFrame, keys: Sequence[str], features: Sequence[str], target: str, part: Column,
+    scales: dict[Part, tuple[float, float]], settings: dict[Part, Boosting],
+) -> Iterator[tuple[list[Part], Forest]]:
+    """A model without each part, ``MODELS_AT_ONCE`` in one run of jobs."""
+    parts = list(scales)
+    for at in range(0, len(parts), T.MODELS_AT_ONCE):
+        own = parts[at : at + T.MODELS_AT_ONCE]
+        models = [Model(settings[p], *scales[p], part=p) for p in own]
+        yield own, grow(df, keys, features, target, models, part)
 
 
 def search(
-    train: DataFrame,
-    setting: Boosting,
-    grid: dict[str, Sequence] | None,
-    fold: str,
-    folds: int,
-    parallelism: int = 4,
-) -> tuple[GBTRegressionModel, dict, float]:
-    """Grid search by cross-validated mean squared error, then a fit of the best setting on
-    all training rows. ``fold`` holds fold numbers from 0; without a grid it is ``GRID``."""
-    grid = GRID if grid is None else grid
-    scratch_root(train.sparkSession)
-    estimator = setting.estimator()
-    builder = ParamGridBuilder()
-    for name, values in grid.items():
-        param = estimator.getParam(_PARAMS[name])
-        builder = builder.addGrid(param, [str(v) if name == "column_share" else v for v in values])
-    validator = CrossValidator(
-        estimator=estimator,
-        estimatorParamMaps=builder.build(),
-        evaluator=RegressionEvaluator(labelCol=_LABEL, metricName="mse"),
-        numFolds=folds,
-        foldCol=fold,
-        parallelism=parallelism,
-        seed=setting.seed,
-    )
-    fitted = validator.fit(train.select(_FEATURES, _LABEL, F.col(fold).cast("int").alias(fold)))
-    errors = fitted.avgMetrics
-    best = min(range(len(errors)), key=errors.__getitem__)
-    chosen = {p.name: v for p, v in builder.build()[best].items()}
-    return fitted.bestModel, {n: chosen[p] for n, p in _PARAMS.items() if p in chosen}, errors[best]
-
-
-def predict(
-    model: GBTRegressionModel, df: DataFrame, target: str, scale: Scale, out: str
-) -> DataFrame:
-    """Predictions in the target's own unit."""
-    scored = model.transform(df)
-    value = unscaled(F.col("prediction"), target, scale).alias(out)
-    kept = [F.col(f"`{c}`") for c in df.columns if c not in (_FEATURES, _LABEL)]
-    return scored.select(*kept, value)
-
-
-IMPORTANCES = T.StructType(
-    [T.StructField("Feature", T.StringType()), T.StructField("Importance", T.DoubleType())]
-)
-
-
-def importances(
-    spark: SparkSession, model: GBTRegressionModel, features: Sequence[str]
-) -> DataFrame:
-    """Importance of each feature, that of its indicator included, one row per feature."""
-    found = model.featureImportances.toArray().reshape(-1, len(features)).sum(axis=0)
-    rows = [(f, float(v)) for f, v in zip(features, found, strict=True)]
-    return spark.createDataFrame(rows, IMPORTANCES)
+    df: DataFrame, keys: Sequence[str], features: Sequence[str], target: str, part: Column,
+    scales: dict[Part, tuple[float, float]], base: Boosting, grid: dict[str, Sequence] | None, folds: int,
+) -> tuple[dict[Part, Boosting], dict[Part, list[float]]]:
+    """Best setting for a model without each part, by cross-validated mean squared error.
+
+    Folds are shuffled over all rows; a model for a part never sees that part. All settings, folds
+    and parts grow together. Settings that differ only in ``rounds`` are one model, read after
+    each of these numbers of trees. Errors, of the scaled target and averaged over folds, come in
+    the order of the grid, and of equal ones the first wins. Without a grid it is ``GRID``.
+    """
+    settings = settings_of(base, GRID if grid is None else grid)
+    alike: dict[Boosting, list[int]] = {}
+    for i, s in enumerate(settings):
+        alike.setdefault(replace(s, rounds=0), []).append(i)
+    table = df.withColumn("__parts", part.cast("int"))
+    table = materialize(k_folds(table, keys, folds, "__folds"), "search")
+    jobs = [(p, group, f) for p in scales for group in alike for f in range(folds)]
+    errors: dict[tuple, dict[int, float]] = {}
+    for at in range(0, len(jobs), T.MODELS_AT_ONCE):
+        own = jobs[at : at + T.MODELS_AT_ONCE]
+        models = [
+            Model(replace(group, rounds=max(settings[i].rounds for i in alike[group])), *scales[p], part=p, fold=f)
+            for p, group, f in own
+        ]
+        stages = sorted({settings[i].rounds for _, group, _ in own for i in alike[group]})
+
+        def read(rounds: int, rows: DataFrame, own=own, models=models) -> None:
+            found = _held_out_errors(rows, models)
+            for m, (p, group, f) in enumerate(own):
+                for i in alike[group]:
+                    if settings[i].rounds == rounds and m in found:
+                        errors.setdefault((p, i), {})[f] = found[m]
+
+        grow(table, keys, features, target, models, F.col("__parts"), F.col("__folds"), stages, read)
+    best, means = {}, {}
+    for p in scales:
+        own_errors = [errors.get((p, i), {}) for i in range(len(settings))]
+        means[p] = [sum(e.values()) / len(e) if e else float("inf") for e in own_errors]
+        best[p] = settings[means[p].index(min(means[p]))]
+    return best, means
+
+
+def _held_out_errors(rows: DataFrame, models: list[Model]) -> dict[int, float]:
+    """Mean squared error of every model on the fold it leaves out."""
+    part = np.array([-9 if m.part is None else m.part for m in models])
+    fold = np.array([m.fold for m in models])
+    mean, deviation = np.array([m.mean for m in models]), np.array([m.deviation for m in models])
+    count = len(models)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, n = np.zeros(count), np.zeros(count)
+        for batch in batches:
+            preds = T._matrix(batch.column("__preds"), np.float64, count)
+            own = batch.column("__part").to_numpy()[:, None]
+            held = (own >= 0) & (own != part) & (batch.column("__fold").to_numpy()[:, None] == fold)
+            gap = preds - (batch.column("__y").to_numpy()[:, None] - mean) / deviation
+            total += np.where(held, gap * gap, 0).sum(axis=0)
+            n += held.sum(axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array(range(count), pa.int32()), pa.array(total), pa.array(n)], ["model", "e", "n"])
+
+    sums = rows.select("__part", "__fold", "__y", "__preds").mapInArrow(run, "model int, e double, n double")
+    added = sums.groupBy("model").agg(F.sum("e").alias("e"), F.sum("n").alias("n")).where("n > 0")
+    return {r["model"]: r["e"] / r["n"] for r in added.collect()}
+
+
+def predict(model: Fitted, df: DataFrame, target: str, scale: Scale, out: str) -> DataFrame:
+    """Predictions in the target's own unit, in one scan."""
+    scored = T.score(df, model.trees, model.features, F.lit(0), model.depth, out)
+    return scored.withColumn(out, unscaled(F.col(out), target, scale))
 
 
 def mean_importances(per_fold: DataFrame) -> DataFrame:
@@ -167,30 +153,26 @@ def top_features(df: DataFrame, n: int = TOP_FEATURES) -> DataFrame:
     return df.orderBy(F.desc("Importance"), "Feature").limit(n)
 
 
+_SCALE = "position int, column string, role string, mean double, deviation double, depth int"
+
+
 def save_model(
-    spark: SparkSession,
-    model: GBTRegressionModel,
-    scale: Scale,
-    features: Sequence[str],
-    target: str,
-    path: str,
+    spark: SparkSession, model: Fitted, scale: Scale, target: str, path: str
 ) -> None:
-    """Model, scaling and feature list below one folder."""
-    model.write().overwrite().save(f"{path}/model")
-    names = [*features, target]
+    """Trees, scaling and feature list below one folder."""
+    model.trees.write.mode("overwrite").parquet(f"{path}/trees")
+    names = [*model.features, target]
     rows = [
-        (i, c, "target" if i == len(features) else "feature", *map(float, scale[c]))
+        (i, c, "target" if i == len(model.features) else "feature", *map(float, scale[c]), model.depth)
         for i, c in enumerate(names)
     ]
-    schema = "position int, column string, role string, mean double, deviation double"
-    spark.createDataFrame(rows, schema).coalesce(1).write.mode("overwrite").json(f"{path}/scale")
+    spark.createDataFrame(rows, _SCALE).coalesce(1).write.mode("overwrite").json(f"{path}/scale")
 
 
-def load_model(spark: SparkSession, path: str) -> tuple[GBTRegressionModel, Scale, list[str], str]:
-    model = GBTRegressionModel.load(f"{path}/model")
-    schema = "position int, column string, role string, mean double, deviation double"
-    rows = spark.read.schema(schema).json(f"{path}/scale").orderBy("position").collect()
+def load_model(spark: SparkSession, path: str) -> tuple[Fitted, Scale, str]:
+    trees = spark.read.schema(T.TREES).parquet(f"{path}/trees")
+    rows = spark.read.schema(_SCALE).json(f"{path}/scale").orderBy("position").collect()
     scale = {r["column"]: (r["mean"], r["deviation"]) for r in rows}
     features = [r["column"] for r in rows if r["role"] == "feature"]
     target = next(r["column"] for r in rows if r["role"] == "target")
-    return model, scale, features, target
+    return Fitted(trees, features, rows[0]["depth"]), scale, target

@@ -1,37 +1,36 @@
 """Flow 3: train and score boosted trees under five hold-out protocols.
 
-Folds are a column of one written table. A fold's training statistics come from the table's
-and the fold's own, each fold is one distributed fit, and its predictions are written as they
-finish.
+Folds are a part number on one written table. All folds, and in a search all settings, grow in one
+run of jobs per ``MODELS_AT_ONCE`` models, whose number does not depend on how many folds there
+are; held-out rows are predicted in the same table.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field, replace
-from multiprocessing.pool import ThreadPool
+from functools import reduce
 
-from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from airloom.operators.assemble import CALENDAR_COLUMNS, drop_calendar, drop_if_present
+from airloom.operators import trees
+from airloom.operators.assemble import CALENDAR_COLUMNS, drop_calendar, drop_if_present, station_at_rounded
 from airloom.operators.boosting import (
-    IMPORTANCES,
     Boosting,
-    assemble,
-    fit,
-    importances,
+    Fitted,
+    Part,
+    fit_parts,
     mean_importances,
-    predict,
     save_model,
     search,
 )
 from airloom.operators.metrics import score_table, season_scores
-from airloom.operators.scaling import Scale, fit_scale, fold_scales
-from airloom.operators.splits import BASE_FOLDS, FOLDS, hold_out, k_folds, random_split, season_split
-from airloom.session import fresh_path, materialize
+from airloom.operators.scaling import fit_scale, fold_scales
+from airloom.operators.splits import BASE_FOLDS, FOLDS, random_split, season_split
+from airloom.session import broadcast_checked, materialize
+from airloom.sources.sinks import predictions_layout
 
 PREDICTED = "predicted"
 
@@ -47,7 +46,8 @@ class Protocol:
     setting: Boosting = field(default_factory=Boosting)
     grid: dict = field(default_factory=dict)
     folds: int = FOLDS
-    parallelism: int = 4
+    #: Orders rows for random and seasonal splits instead of the row hash.
+    order: Column | None = None
 
 
 @dataclass(frozen=True)
@@ -63,20 +63,48 @@ def _complete(df: DataFrame, protocol: Protocol, extra: Sequence[str] = ()) -> D
     return materialize(df.select(*[F.col(f"`{c}`") for c in used]).na.drop("any"), "training")
 
 
-def _train(train: DataFrame, protocol: Protocol, scale: Scale):
-    """Fit one setting, or search the grid over shuffled folds of the training rows."""
-    ready = assemble(train, protocol.features, scale, protocol.target)
-    if not protocol.grid:
-        return fit(ready, protocol.setting)
-    folded = k_folds(ready, protocol.keys, protocol.folds)
-    return search(
-        folded, protocol.setting, protocol.grid, "fold", protocol.folds, protocol.parallelism
-    )[0]
+@dataclass(frozen=True)
+class _Trained:
+    """Held-out rows with their predictions, importances per part, and every part's model."""
 
+    predictions: DataFrame
+    importances: DataFrame
+    models: dict[Part, Fitted]
 
-def _score_held_out(model, test: DataFrame, protocol: Protocol, scale: Scale) -> DataFrame:
-    ready = assemble(test, protocol.features, scale, None)
-    return predict(model, ready, protocol.target, scale, PREDICTED)
+
+def _train(
+    rows: DataFrame, protocol: Protocol, part: Column, scales: dict[Part, tuple[float, float]],
+    held: Part = None, searched: bool = True,
+) -> _Trained:
+    """A model without each part, of one setting or the best of the grid.
+
+    Predicted are the rows of each model's part, or of part ``held``.
+    """
+    given = rows.withColumn("__held", part.cast("int"))
+    common = given, protocol.keys, protocol.features, protocol.target, F.col("__held"), scales
+    settings = dict.fromkeys(scales, protocol.setting)
+    if protocol.grid and searched:
+        settings, _ = search(*common, protocol.setting, protocol.grid, protocol.folds)
+    found, shares, models = [], [], {}
+    for parts, forest in fit_parts(*common, settings):
+        scored = trees.predictions(forest, "__all")
+        place = F.lit(0)
+        if held is None:
+            # Parts are numbered in order, and models of one run are consecutive.
+            place = F.col("__held") - parts[0]
+            scored = scored.where(F.col("__held").between(parts[0], parts[-1]))
+        else:
+            scored = scored.where(F.col("__held") == held)
+        kept = [F.col(f"`{c}`") for c in rows.columns]
+        found.append(scored.select(*kept, F.get("__all", place).alias(PREDICTED)))
+        own = trees.importances(forest.trees, protocol.features, len(parts))
+        base = parts[0] if parts[0] is not None else 0
+        shares.append(own.withColumn("model", F.col("model") + base))
+        for i, p in enumerate(parts):
+            one = forest.trees.where(F.col("model") == i).withColumn("model", F.lit(0))
+            models[p] = Fitted(one, list(protocol.features), settings[p].depth)
+    union = [reduce(DataFrame.unionByName, frames) for frames in (found, shares)]
+    return _Trained(materialize(union[0], "predictions"), union[1], models)
 
 
 def _with_feature(protocol: Protocol, name: str) -> Protocol:
@@ -95,16 +123,24 @@ def random_protocol(df: DataFrame, protocol: Protocol, station: str, date: str)
     """
     protocol = _with_feature(protocol, "Year")
     rows = _complete(df.withColumn("Year", F.year(date)), protocol, [station])
-    split = materialize(random_split(rows, protocol.keys), "split")
-    train, test = split.where("not is_test"), split.where("is_test").drop("is_test")
-    scale = fit_scale(train, [*protocol.features, protocol.target])
-    model = _train(train, protocol, scale)
-    predictions = materialize(_score_held_out(model, test, protocol, scale), "predictions")
-    found = importances(df.sparkSession, model, protocol.features)
+    split = materialize(random_split(rows, protocol.keys, order=protocol.order), "split")
+    trained = _holding_out(split, protocol)
     scores = score_table(
-        predictions, [station], protocol.order_by, station, "fraction", protocol.target, PREDICTED
+        trained.predictions, [station], protocol.order_by, station, "fraction", protocol.target, PREDICTED
     )
-    return Evaluation(predictions, found.orderBy(F.desc("Importance"), "Feature"), scores)
+    return Evaluation(trained.predictions, _ranked(trained), scores)
+
+
+def _holding_out(split: DataFrame, protocol: Protocol, searched: bool = True) -> _Trained:
+    """One model of the rows that are not test rows."""
+    scale = fit_scale(split.where("not is_test"), [protocol.target])[protocol.target]
+    part = F.when(F.col("is_test"), F.lit(-1)).otherwise(F.lit(0))
+    trained = _train(split, protocol, part, {None: scale}, held=-1, searched=searched)
+    return replace(trained, predictions=trained.predictions.drop("is_test"))
+
+
+def _ranked(trained: _Trained) -> DataFrame:
+    return trained.importances.drop("model").orderBy(F.desc("Importance"), "Feature")
 
 
 def season_protocol(df: DataFrame, protocol: Protocol, date: str) -> Evaluation:
@@ -114,50 +150,45 @@ def season_protocol(df: DataFrame, protocol: Protocol, date: str) -> Evaluation:
     """
     protocol = _with_feature(protocol, "Month")
     rows = _complete(df.withColumn("Month", F.month(date)), protocol, [date])
-    split = materialize(season_split(rows, protocol.keys, date), "split")
-    train, test = split.where("not is_test"), split.where("is_test").drop("is_test")
-    scale = fit_scale(train, [*protocol.features, protocol.target])
-    model = fit(assemble(train, protocol.features, scale, protocol.target), protocol.setting)
-    predictions = materialize(_score_held_out(model, test, protocol, scale), "predictions")
-    found = importances(df.sparkSession, model, protocol.features)
+    split = materialize(season_split(rows, protocol.keys, date, order=protocol.order), "split")
+    trained = _holding_out(split, protocol, searched=False)
     scores = season_scores(
-        predictions, protocol.order_by, "Season", protocol.target, PREDICTED
+        trained.predictions, protocol.order_by, "Season", protocol.target, PREDICTED
     )
-    return Evaluation(predictions, found.orderBy(F.desc("Importance"), "Feature"), scores)
+    return Evaluation(trained.predictions, _ranked(trained), scores)
 
 
 def _leave_one_out(
     rows: DataFrame, protocol: Protocol, fold: str, model_folder: str | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """Predictions of every fold by a model of the other folds, and importances per fold."""
+    """Predictions of every fold by a model of the other folds, and importances per fold.
+
+    One row per fold comes to the driver. A fold that holds all rows has no model and is skipped;
+    rows without a fold are trained on by all and predicted by none.
+    """
     spark = rows.sparkSession
-    names = [*protocol.features, protocol.target]
-    # One row per fold and column; folds that hold all rows have none and are skipped.
+    saved = [*protocol.features, protocol.target] if model_folder else [protocol.target]
     stats: dict = {}
-    for r in fold_scales(rows, [fold], names).collect():
-        stats.setdefault(r[fold], {})[r["column"]] = (r["train_mean"], r["train_std"])
-    path = fresh_path(spark, "fold-predictions")
-
-    def run(numbered):
-        number, value = numbered
-        train, test = hold_out(rows, fold, value)
-        scale = stats[value]
-        model = _train(train, protocol, scale)
-        scored = _score_held_out(model, test, protocol, scale)
-        scored.write.parquet(f"{path}/part={number}")
-        if model_folder:
-            save_model(spark, model, scale, protocol.features, protocol.target,
-                       f"{model_folder}/fold={number}")
-        return [(f, float(v), str(value))
-                for f, v in zip(protocol.features, model.featureImportances.toArray())]
-
-    folds = sorted(stats)
-    with ThreadPool(max(1, min(protocol.parallelism, len(folds)))) as pool:
-        found = pool.map(inheritable_thread_target(spark)(run), list(enumerate(folds)), chunksize=1)
-    schema = T.StructType([*IMPORTANCES.fields, T.StructField("fold", T.StringType())])
-    flat = spark.createDataFrame([row for rows_ in found for row in rows_], schema)
-    predictions = spark.read.parquet(path).drop("part")
-    return predictions, flat
+    for r in fold_scales(rows, [fold], saved).collect():
+        if r[fold] is not None:
+            stats.setdefault(r[fold], {})[r["column"]] = (r["train_mean"], r["train_std"])
+    folds = sorted(v for v, own in stats.items() if protocol.target in own)
+    kind = T.StructType([T.StructField("__fold_value", rows.schema[fold].dataType), T.StructField("__n", T.IntegerType())])
+    numbers = spark.createDataFrame([(v, i) for i, v in enumerate(folds)], kind)
+    side = broadcast_checked(numbers)
+    numbered = rows.join(side, F.col(f"`{fold}`") == F.col("__fold_value"), "left").drop("__fold_value")
+    numbered = materialize(numbered.withColumn("__n", F.coalesce("__n", F.lit(len(folds)))), "numbered")
+    if not folds:
+        shares = spark.createDataFrame([], "Feature string, Importance double, fold string")
+        return rows.limit(0).withColumn(PREDICTED, F.lit(0.0)), shares
+    scales = {i: stats[v][protocol.target] for i, v in enumerate(folds)}
+    trained = _train(numbered, protocol, F.col("__n"), scales)
+    if model_folder:
+        for i, v in enumerate(folds):
+            save_model(spark, trained.models[i], stats[v], protocol.target, f"{model_folder}/fold={i}")
+    named = trained.importances.join(F.broadcast(numbers), F.col("model") == F.col("__n"))
+    shares = named.select("Feature", "Importance", F.col("__fold_value").cast("string").alias("fold"))
+    return trained.predictions.drop("__n"), shares
 
 
 def station_protocol(
@@ -201,15 +232,32 @@ def base_model(df: DataFrame, protocol: Protocol, dropped: Sequence[str], folder
     """
     ready = drop_if_present(drop_calendar(df), dropped).na.drop(subset=[protocol.target])
     features = [f for f in protocol.features if f not in dropped]
+    protocol = replace(protocol, features=features, folds=BASE_FOLDS)
     ready = materialize(ready, "base")
     scale = fit_scale(ready, [*features, protocol.target])
-    vectors = assemble(ready, features, scale, protocol.target, nulls="keep")
-    if protocol.grid:
-        folded = k_folds(vectors, protocol.keys, BASE_FOLDS)
-        model = search(
-            folded, protocol.setting, protocol.grid, "fold", BASE_FOLDS, protocol.parallelism
-        )[0]
-    else:
-        model = fit(vectors, protocol.setting)
-    save_model(df.sparkSession, model, scale, features, protocol.target, folder)
-    return predict(model, vectors, protocol.target, scale, PREDICTED)
+    trained = _train(ready, protocol, F.lit(0), {None: scale[protocol.target]}, held=0)
+    save_model(df.sparkSession, trained.models[None], scale, protocol.target, folder)
+    return trained.predictions
+
+
+def predicted_at_stations(predictions: DataFrame, protocol: Protocol, dimension: DataFrame, order: str) -> DataFrame:
+    """Predictions with the name of the station at their rounded coordinates, keys first."""
+    named = station_at_rounded(predictions, dimension, order)
+    return predictions_layout(named, ["Station_Name", *protocol.keys], protocol.target, PREDICTED)
+
+
+def scores_at_stations(
+    predictions: DataFrame, protocol: Protocol, dimension: DataFrame, order: str, unit: str = "fraction"
+) -> DataFrame:
+    """Rows (Metric, Value, Station, Longitude, Latitude): scores per pair of coordinates with the
+    name of its station, and overall ones without coordinates."""
+    place = ["Longitude", "Latitude"]
+    labelled = predictions.withColumn("Station", F.concat_ws(" ", *place))
+    found = score_table(
+        labelled, [*place, "Station"], protocol.order_by, "Station", unit, protocol.target, PREDICTED
+    )
+    overall = F.col("Station") == "Overall"
+    named = station_at_rounded(found.where(~overall), dimension, order).drop("Station")
+    named = named.withColumnRenamed("Station_Name", "Station")
+    columns = ["Metric", "Value", "Station", *place]
+    return named.select(*columns).unionByName(found.where(overall).select(*columns))
