@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
-from airloom.catalog.base import observations, query, r6, table
+from airloom.catalog.base import STATIONS_SQL, observations, query, r6, stations, table
 from airloom.catalog.boost_sql import boosted
 from airloom.catalog.cleaning import LINE_KEY
 from airloom.functions.dates import season
-from airloom.operators.boosting import Boosting, mean_importances, top_features
+from airloom.operators.boosting import Boosting, mean_importances, search, settings_of, top_features
 from airloom.operators.metrics import (
     distinct_stations,
     group_scores,
@@ -24,14 +26,19 @@ from airloom.operators.splits import (
     season_split,
     text_hash,
 )
+from airloom.operators.trees import Model, grow
 from airloom.plans.evaluation import (
     PREDICTED,
     Protocol,
+    base_model,
     random_protocol,
+    save_predictions,
+    scores_at_stations,
     season_protocol,
     station_protocol,
     year_protocol,
 )
+from airloom.session import fresh_path, lookup_table
 
 
 def _hash_sql(key: str) -> str:
@@ -193,6 +200,13 @@ def long_scores(source: str, label: str) -> str:
     )
 
 
+def _long_at(source: str, label: str) -> str:
+    return " union all ".join(
+        f"""select '{m}' as "Metric", round({m.lower()}, 6) as "Value", {label} as station, "Longitude", "Latitude" from {source}"""
+        for m in ("RMSE", "MAPE", "MASE", "R2")
+    )
+
+
 @query(
     "score_table",
     f"""with s as (select user_id as station, {Y_SQL},
@@ -398,3 +412,158 @@ def q_held_out_by_year(spark, sf):
         *LINE_KEY, F.col("Year").cast("long").alias("Year"), r6("l_extendedprice").alias("actual"),
         F.round(PREDICTED, 4).alias("predicted"),
     )
+
+
+_GAPS_SQL = f"""rows as materialized (select * replace (case when l_tax > 0 then l_tax end as l_tax,
+        case when l_quantity % 7 <> 3 then l_quantity end as l_quantity), row_number() over () as id from lineitem),
+    given as materialized (select *, 0 as part from rows)"""
+
+
+def _with_gaps(spark, sf):
+    lines = _regression(spark, sf)
+    return lines.withColumns({
+        "l_tax": F.when(F.col("l_tax") > 0, F.col("l_tax")),
+        "l_quantity": F.when(F.col("l_quantity") % 7 != 3, F.col("l_quantity")),
+    })
+
+
+@query(
+    "protocol_base",
+    f"""with {_GAPS_SQL}, {boosted("given", ["l_quantity", "l_tax"], "l_extendedprice", CHECKED, "select 0 as m", "true", "true")}
+        select {", ".join(LINE_KEY)}, l_quantity, l_tax, round(predicted, 4) as predicted from given join predicted using (id)""",
+)
+def q_protocol_base(spark, sf):
+    """All rows, missing cells sent where they gain most."""
+    found = base_model(_with_gaps(spark, sf), _protocol(), ["l_discount"], fresh_path(spark, "base-model"))
+    return found.select(*LINE_KEY, "l_quantity", "l_tax", F.round(PREDICTED, 4).alias("predicted"))
+
+
+STUMP = replace(CHECKED, rounds=1, depth=1, l1=0.5, l2=2.0, min_gain=0.0)
+_GAP_FEATURES = ["l_quantity", "l_discount", "l_tax"]
+_VALUE_SQL = "case c " + " ".join(f"when {i} then f{i}" for i in range(3)) + " end"
+
+
+@query(
+    "boosted_splits",
+    f"""with {_GAPS_SQL.replace("0 as part", "year(l_shipdate) as part")},
+        {boosted("given", _GAP_FEATURES, "l_extendedprice", STUMP, "select distinct part as m from given")},
+        cuts as (select k.m, k.c, min({_VALUE_SQL}) as threshold from k0_0 k join cells on v is null or {_VALUE_SQL} > v group by k.m, k.c)
+        select m::bigint as "Year", c as feature, case when v is not null then threshold end as threshold, missing_left,
+               round(gain, 6) as gain, round(a.value, 9) as left_value, round(b.value, 9) as right_value
+        from k0_0 join cuts using (m, c) join leaves0 a on a.m = k0_0.m and a.leaf = 1 join leaves0 b on b.m = k0_0.m and b.leaf = 2""",
+)
+def q_boosted_splits(spark, sf):
+    """First split, gain and leaves of a tree without each year: L1, L2 and missing cells."""
+    lines = _with_gaps(spark, sf).withColumn("Year", F.year("l_shipdate"))
+    scales = fold_scales(lines, ["Year"], ["l_extendedprice"]).orderBy("Year").collect()
+    models = [Model(STUMP, r["train_mean"], r["train_std"], part=r["Year"]) for r in scales]
+    trees = grow(lines, LINE_KEY, _GAP_FEATURES, "l_extendedprice", models, F.col("Year")).trees
+    years = F.element_at(F.array(*[F.lit(r["Year"]).cast("long") for r in scales]), F.col("model") + 1)
+    leaf = {i: F.max(F.when(F.col("place") == i, F.col("value"))) for i in (1, 2)}
+    roots = trees.where("place = 0 and child > 0")
+    cut = F.when(F.col("threshold") > float("-inf"), F.col("threshold")).alias("threshold")
+    roots = roots.select("model", F.col("column").alias("feature"), cut, "missing_left", r6("gain").alias("gain"))
+    leaves = trees.groupBy("model").agg(*[F.round(leaf[i], 9).alias(f"{side}_value") for i, side in ((1, "left"), (2, "right"))])
+    return roots.join(leaves, "model").withColumn("Year", years).drop("model")
+
+
+#: All nine axes; those that sample stand at whole rows and columns, which SQL can follow.
+_GRID = {
+    "rounds": [1, 2], "depth": [1, 2], "rate": [0.3], "row_share": [1.0], "column_share": [1.0],
+    "l1": [0.1], "l2": [0.1, 10.0], "bins": [256], "min_gain": [1.0, 4.0],
+}
+_GRID_FOLDS = 3
+_FOLD_ROWS_SQL = f"""rows as materialized (select *, row_number() over ({_PLACE}) - 1 as place, row_number() over () as id, count(*) over () as n from lineitem),
+    given as materialized (select *, case when place < (n % {_GRID_FOLDS}) * (n // {_GRID_FOLDS} + 1) then place // (n // {_GRID_FOLDS} + 1)
+        else n % {_GRID_FOLDS} + (place - (n % {_GRID_FOLDS}) * (n // {_GRID_FOLDS} + 1)) // (n // {_GRID_FOLDS}) end as part from rows)"""
+
+
+def _error_sql(setting: Boosting) -> str:
+    folds = "select distinct part as m from given"
+    return f"""(with {_FOLD_ROWS_SQL}, {boosted("given", _FEATURES, "l_extendedprice", setting, folds, scale="true")}
+        select avg(e) from (select m, avg(pow((l_extendedprice - predicted) / deviation, 2)) as e
+        from predicted join given using (id) join models using (m) group by m))"""
+
+
+@query(
+    "grid_search",
+    "with e as ("
+    + " union all ".join(f"select {i} as setting, {_error_sql(s)} as error" for i, s in enumerate(settings_of(CHECKED, _GRID)))
+    + """) select setting, round(error, 8) as error, setting = (select arg_min(setting, (round(error, 8), setting)) from e) as best from e""",
+)
+def q_grid_search(spark, sf):
+    """Cross-validated error of every setting; all settings and folds grow together."""
+    lines = _regression(spark, sf)
+    scale = {None: fit_scale(lines, ["l_extendedprice"])["l_extendedprice"]}
+    best, errors = search(
+        lines, LINE_KEY, _FEATURES, "l_extendedprice", F.lit(0), scale, CHECKED, _GRID, _GRID_FOLDS,
+        text_hash(HASHED),
+    )
+    rounded = [round(e, 8) for e in errors[None]]
+    first = rounded.index(min(rounded))
+    assert best[None].depth in _GRID["depth"]
+    rows = [(i, e, i == first) for i, e in enumerate(rounded)]
+    return spark.createDataFrame(rows, "setting int, error double, best boolean")
+
+
+def _placed(spark, sf):
+    """The regression rows with their supplier's coordinates, and the suppliers as named stations."""
+    places = stations(spark, sf).withColumn("name", F.concat(F.lit("st "), F.col("station")))
+    side = lookup_table(places.select("station", F.col("longitude").alias("Longitude"), F.col("latitude").alias("Latitude")), "places")
+    rows = _regression(spark, sf).join(side, F.col("l_suppkey") == F.col("station")).drop("station")
+    named = places.select(F.col("name").alias("station"), "longitude", "latitude", F.col("station").alias("order"))
+    return rows, named
+
+
+_PLACED_SQL = f"""places as (select *, 'st ' || station as name, row_number() over (
+        partition by round_even(longitude, 4), round_even(latitude, 4) order by station) as nth from stations),
+    names as (select round_even(longitude, 4) as lon, round_even(latitude, 4) as lat, name from places where nth = 1)"""
+
+
+def _station_sql(final: str) -> str:
+    body = _protocol_sql("year", final)
+    return body.replace("with rows as", f"with {STATIONS_SQL}, {_PLACED_SQL}, rows as", 1)
+
+
+_PLACED_ROWS = """placed as (select g.*, predicted, longitude as "Longitude", latitude as "Latitude", name
+        from given g join predicted using (id) join stations s on s.station = l_suppkey
+        join names on lon = round_even(longitude, 4) and lat = round_even(latitude, 4))"""
+
+
+@query(
+    "predictions_at_stations",
+    _station_sql(f"""{_PLACED_ROWS} select name as "Station_Name", {", ".join(LINE_KEY)}, round(predicted, 4) as predicted,
+        round("Longitude", 6) as "Longitude", round("Latitude", 6) as "Latitude" from placed"""),
+)
+def q_predictions_at_stations(spark, sf):
+    """The prediction file of a protocol, written and read back: names, keys, actual, predicted."""
+    rows, named = _placed(spark, sf)
+    protocol = _protocol(carried=["Longitude", "Latitude"])
+    found = year_protocol(rows, protocol, "l_shipdate").predictions
+    path = fresh_path(spark, "predictions")
+    save_predictions(found, path, protocol, named, "order")
+    back = spark.read.parquet(path)
+    assert back.columns[: len(LINE_KEY) + 1] == ["Station_Name", *LINE_KEY]
+    return back.select(
+        "Station_Name", *LINE_KEY, F.round(PREDICTED, 4).alias("predicted"), r6("Longitude").alias("Longitude"), r6("Latitude").alias("Latitude")
+    )
+
+
+@query(
+    "scores_at_stations",
+    _station_sql(f"""{_PLACED_ROWS},
+        s as (select "Longitude", "Latitude", name as station, {_ACTUAL}, lag(l_extendedprice) over (
+              partition by "Longitude", "Latitude" order by {_OVER}) as previous from placed),
+        g as (select "Longitude", "Latitude", station, {SCORES_SQL} from s group by all),
+        o as (select {_ACTUAL}, lag(l_extendedprice) over (order by "Longitude", "Latitude", {_OVER}) as previous from placed),
+        w as (select null::double as "Longitude", null::double as "Latitude", {SCORES_SQL} from o)
+        select "Metric", "Value", station as "Station", round("Longitude", 6) as "Longitude", round("Latitude", 6) as "Latitude" from (
+        {_long_at("g", "station")} union all {_long_at("w", "'Overall'")})"""),
+)
+def q_scores_at_stations(spark, sf):
+    """Scores with the station's name and coordinates, and overall ones."""
+    rows, named = _placed(spark, sf)
+    protocol = _protocol(carried=["Longitude", "Latitude"])
+    found = year_protocol(rows, protocol, "l_shipdate").predictions
+    scores = scores_at_stations(found, protocol, named, "order")
+    return scores.select("Metric", r6("Value").alias("Value"), "Station", r6("Longitude").alias("Longitude"), r6("Latitude").alias("Latitude"))

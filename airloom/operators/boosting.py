@@ -74,6 +74,7 @@ def fit_parts(
 def search(
     df: DataFrame, keys: Sequence[str], features: Sequence[str], target: str, part: Column,
     scales: dict[Part, tuple[float, float]], base: Boosting, grid: dict[str, Sequence] | None, folds: int,
+    order: Column | None = None,
 ) -> tuple[dict[Part, Boosting], dict[Part, list[float]]]:
     """Best setting for a model without each part, by cross-validated mean squared error.
 
@@ -87,7 +88,7 @@ def search(
     for i, s in enumerate(settings):
         alike.setdefault(replace(s, rounds=0), []).append(i)
     table = df.withColumn("__parts", part.cast("int"))
-    table = materialize(k_folds(table, keys, folds, "__folds"), "search")
+    table = materialize(k_folds(table, keys, folds, "__folds", order), "search")
     jobs = [(p, group, f) for p in scales for group in alike for f in range(folds)]
     errors: dict[tuple, dict[int, float]] = {}
     for at in range(0, len(jobs), T.MODELS_AT_ONCE):

@@ -33,6 +33,8 @@ from airloom.session import broadcast_checked, fresh_path, materialize
 
 #: Trees between two writes of the predictions.
 FLUSH = 4
+#: Rows times models of a file of predictions.
+PART_CELLS = 16_000_000
 #: Models that grow together; more go in turns.
 MODELS_AT_ONCE = 256
 #: Rows times models of a slab.
@@ -346,6 +348,10 @@ def grow(
     count, depth = len(models), max(m.setting.depth for m in models)
     rounds = max(m.setting.rounds for m in models)
     given = df.where(_cell(target).isNotNull())
+    # Predictions make rows wide, so the table gets partitions for its cells, dealt by key.
+    cells = given.count() * count
+    dealt = max(spark.sparkContext.defaultParallelism, -(-cells // PART_CELLS))
+    given = given.repartition(dealt, *[F.col(f"`{c}`") for c in keys])
     fold = F.lit(-1) if fold is None else fold
     state = materialize(binned(given, keys, features, target, part, fold, cuts, count), "boosting")
     params = spark.createDataFrame(

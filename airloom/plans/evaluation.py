@@ -30,7 +30,7 @@ from airloom.operators.metrics import score_table, season_scores
 from airloom.operators.scaling import fit_scale, fold_scales
 from airloom.operators.splits import BASE_FOLDS, FOLDS, random_split, season_split
 from airloom.session import broadcast_checked, materialize
-from airloom.sources.sinks import predictions_layout
+from airloom.sources.sinks import write_predictions
 
 PREDICTED = "predicted"
 
@@ -48,6 +48,8 @@ class Protocol:
     folds: int = FOLDS
     #: Orders rows for random and seasonal splits instead of the row hash.
     order: Column | None = None
+    #: Columns that predictions keep besides those used.
+    carried: Sequence[str] = ()
 
 
 @dataclass(frozen=True)
@@ -59,7 +61,7 @@ class Evaluation:
 
 def _complete(df: DataFrame, protocol: Protocol, extra: Sequence[str] = ()) -> DataFrame:
     """Rows without a missing cell, written once for all folds."""
-    used = dict.fromkeys([*protocol.keys, *protocol.order_by, *protocol.features, protocol.target, *extra])
+    used = dict.fromkeys([*protocol.keys, *protocol.order_by, *protocol.features, protocol.target, *protocol.carried, *extra])
     return materialize(df.select(*[F.col(f"`{c}`") for c in used]).na.drop("any"), "training")
 
 
@@ -84,7 +86,7 @@ def _train(
     common = given, protocol.keys, protocol.features, protocol.target, F.col("__held"), scales
     settings = dict.fromkeys(scales, protocol.setting)
     if protocol.grid and searched:
-        settings, _ = search(*common, protocol.setting, protocol.grid, protocol.folds)
+        settings, _ = search(*common, protocol.setting, protocol.grid, protocol.folds, protocol.order)
     found, shares, models = [], [], {}
     for parts, forest in fit_parts(*common, settings):
         scored = trees.predictions(forest, "__all")
@@ -240,10 +242,13 @@ def base_model(df: DataFrame, protocol: Protocol, dropped: Sequence[str], folder
     return trained.predictions
 
 
-def predicted_at_stations(predictions: DataFrame, protocol: Protocol, dimension: DataFrame, order: str) -> DataFrame:
-    """Predictions with the name of the station at their rounded coordinates, keys first."""
+def save_predictions(
+    predictions: DataFrame, path: str, protocol: Protocol, dimension: DataFrame, order: str
+) -> None:
+    """Predictions as a file: name of the station at their rounded coordinates, keys, actual and
+    predicted value, then the rest. Rows whose coordinates no station has are left out."""
     named = station_at_rounded(predictions, dimension, order)
-    return predictions_layout(named, ["Station_Name", *protocol.keys], protocol.target, PREDICTED)
+    write_predictions(named, path, ["Station_Name", *protocol.keys], protocol.target, PREDICTED)
 
 
 def scores_at_stations(

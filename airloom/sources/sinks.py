@@ -44,7 +44,7 @@ def predictions_layout(
     df: DataFrame, keys: Sequence[str], actual: str, predicted: str
 ) -> DataFrame:
     """Key columns, actual and predicted value, then the rest."""
-    lead = [*keys, actual, predicted]
+    lead = list(dict.fromkeys([*keys, actual, predicted]))
     return df.select(*[f"`{c}`" for c in lead + [c for c in df.columns if c not in lead]])
 
 

@@ -7,7 +7,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from airloom.operators.boosting import Boosting, assemble, fit, load_model, predict, save_model
+from airloom.operators.boosting import Boosting, fit, load_model, predict, save_model, search, settings_of
 from airloom.operators.impute import _fill_block, contiguous_blocks, knn_impute
 from airloom.operators.scaling import apply_scale, fit_scale, fold_scales
 from airloom.operators.spatial import nearest_cells
@@ -148,16 +148,46 @@ def _protocol(**more):
 
 def test_saved_model_predicts_the_same(spark, regression):
     path = fresh_path(spark, "model")
-    frame = regression.na.drop()
-    scale = fit_scale(frame, ["a", "b", "y"])
-    vectors = assemble(frame, ["a", "b"], scale, "y")
-    model = fit(vectors, Boosting(rounds=3, depth=3, rate=0.5, bins=32))
-    save_model(spark, model, scale, ["a", "b"], "y", path)
-    loaded, scale2, features, target = load_model(spark, path)
-    assert scale2 == scale and (features, target) == (["a", "b"], "y")
-    first = predict(model, vectors, "y", scale, "p").select("id", "p")
-    second = predict(loaded, assemble(frame, features, scale2, None), target, scale2, "p").select("id", "p")
+    scale = fit_scale(regression, ["a", "b", "y"])
+    model = fit(regression, ["id"], ["a", "b"], "y", Boosting(rounds=3, depth=3, rate=0.5, bins=32), scale)
+    save_model(spark, model, scale, "y", path)
+    loaded, scale2, target = load_model(spark, path)
+    assert scale2 == scale and (loaded.features, loaded.depth, target) == (["a", "b"], 3, "y")
+    first = predict(model, regression, "y", scale, "p").select("id", "p")
+    second = predict(loaded, regression.select("a", "b", "id"), target, scale2, "p").select("id", "p")
     assert rows(first, "id") == rows(second, "id")
+    assert first.select("p").distinct().count() > 3
+
+
+GRID = {
+    "rounds": [1, 3], "depth": [1, 3], "rate": [0.3, 0.6], "row_share": [0.8], "column_share": [0.5, 1.0],
+    "l1": [0.1], "l2": [0.1, 5.0], "bins": [16, 32], "min_gain": [0.0],
+}
+
+
+def test_grid_over_nine_axes_equals_one_setting_at_a_time(spark, regression):
+    base, scale = Boosting(), {None: (20.0, 9.0)}
+    assert len(GRID) == 9
+    best, errors = search(regression, ["id"], ["a", "b"], "y", F.lit(0), scale, base, GRID, 3)
+    settings = settings_of(base, GRID)
+    assert len(settings) == len(errors[None]) == 64
+    assert best[None] == settings[errors[None].index(min(errors[None]))]
+    for i in (0, 21, 40, 63):
+        alone = {k: [getattr(settings[i], k)] for k in GRID}
+        _, error = search(regression, ["id"], ["a", "b"], "y", F.lit(0), scale, base, alone, 3)
+        assert abs(error[None][0] - errors[None][i]) < 1e-9
+
+
+def test_jobs_do_not_grow_with_folds(spark, regression):
+    tracker = spark.sparkContext.statusTracker()
+
+    def jobs(parts):
+        frame = regression.withColumn("station", F.col("id") % parts)
+        spark.sparkContext.setJobGroup(f"folds-{parts}", "")
+        station_protocol(frame, _protocol(), "station").predictions.count()
+        return len(tracker.getJobIdsForGroup(f"folds-{parts}"))
+
+    assert abs(jobs(3) - jobs(60)) <= 8
 
 
 def test_every_station_predicted_by_the_others(spark, regression):
@@ -167,7 +197,13 @@ def test_every_station_predicted_by_the_others(spark, regression):
     assert rows(result.predictions.select("id"), "id") == rows(complete.select("id"), "id")
     assert result.scores.count() == 16
     assert result.importances.count() == 2
-    assert load_model(spark, f"{folder}/fold=0")[2] == ["a", "b"]
+    model, scale, target = load_model(spark, f"{folder}/fold=1")
+    assert (model.features, target) == (["a", "b"], "y") and set(scale) == {"a", "b", "y"}
+    # The saved model of a station is the one that predicted it.
+    held = complete.where("station = 1")
+    again = predict(model, held, "y", scale, "p").select("id", F.round("p", 9))
+    own = result.predictions.where("station = 1").select("id", F.round("predicted", 9))
+    assert rows(again, "id") == rows(own, "id")
 
 
 def test_years_and_base_model(spark, regression):
