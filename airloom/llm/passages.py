@@ -83,7 +83,8 @@ def segments(
     ``across_only``: shared means by two documents at least, else also twice in one. ``join`` is
     put between units. ``base`` is the first unit's place, ``n`` the number of units.
     """
-    runs = _runs(docs, cut, k, window)
+    # Read twice below, and dearer to make than to write.
+    runs = materialize(_runs(docs, cut, k, window), "anchor-runs")
     seen = runs.groupBy("h").agg(
         F.min("doc_id").alias("root"), F.max("doc_id").alias("top"), F.count("*").alias("size")
     )

@@ -3,7 +3,7 @@
 ``passages`` deals the stretches in which repeats are possible to bounded shards. A task orders
 the suffixes that begin a window through the threshold only, most significant digit first: digits
 are ``DIGIT`` bytes, read as one 64-bit number that equal bytes share; each pass splits the groups
-of the last one by the next digit, and suffixes left alone are dropped. The groups that remain
+of the last one whose members differ in the next digit, and suffixes left alone are dropped. The groups that remain
 after the last digit are exactly the repeated windows.
 
 Texts are UTF-8 bytes; strings are judged on the input, count within one document too, and may
@@ -33,22 +33,38 @@ SHARD_BYTES = 2_000_000
 
 
 def radix_groups(values: np.ndarray, starts: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Starts of the windows that occur twice or more, and the group of each, in group order."""
-    group = np.zeros(len(starts), np.uint64)
+    """Starts of the windows that occur twice or more, and the group of each, in group order.
+
+    Digits are hashed once. A group whose members agree in a digit is left as it is; only the
+    members of the others are sorted.
+    """
+    group = np.zeros(len(starts), np.int64)
+    digits: dict[int, np.ndarray] = {}
     done = 0
     while done < depth and len(starts):
-        digit = min(DIGIT, depth - done)
-        key = mixed(group * np.uint64(0x9E3779B97F4A7C15) + grams(values, digit)[starts + done])
-        order = np.argsort(key, kind="stable")
-        starts, key = starts[order], key[order]
-        new = np.diff(key, prepend=~key[:1]) != 0
+        size = min(DIGIT, depth - done)
+        if size not in digits:
+            digits[size] = grams(values, size)
+        key = digits[size][starts + done]
+        within = group[1:] == group[:-1]
+        split = np.zeros(int(group[-1]) + 1, bool)
+        split[group[1:][within & (key[1:] != key[:-1])]] = True
+        apart = split[group]
+        if apart.any():
+            # Those that agree go first, the others follow by group and digit.
+            own = mixed(group[apart].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + key[apart])
+            order = np.flatnonzero(apart)[np.argsort(own)]
+            place = np.concatenate([np.flatnonzero(~apart), order])
+            starts, key, group = starts[place], key[place], group[place]
+        new = np.ones(len(starts), bool)
+        new[1:] = (group[1:] != group[:-1]) | (key[1:] != key[:-1])
         first = np.flatnonzero(new)
-        size = np.diff(np.append(first, len(key)))
-        group = np.repeat(np.arange(len(first), dtype=np.uint64), size)
-        more = np.repeat(size > 1, size)
-        starts, group = starts[more], group[more]
-        done += digit
-    return starts, group
+        count = np.diff(np.append(first, len(starts)))
+        more = np.repeat(count > 1, count)
+        kept = count[count > 1]
+        starts, group = starts[more], np.repeat(np.arange(len(kept)), kept)
+        done += size
+    return starts, group.astype(np.uint64)
 
 
 def _cut(data: np.ndarray, at: np.ndarray) -> Units:
