@@ -22,13 +22,22 @@ SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
 #: A slice of a batch holds about so many text bytes, or one longer text.
 SLICE_BYTES = 2_000_000
 
-__all__ = ["Query", "SPACE", "WORD", "documents", "flat", "materialize", "slices", "table", "texts", "window_starts", "word_spans"]
+__all__ = ["Query", "GIVEN", "SPACE", "WORD", "carried", "documents", "flat", "materialize", "slices", "table", "texts", "window_starts", "word_spans"]
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+#: The given row as one column, so that no column of its own meets an inner one.
+GIVEN = "__given"
+
+
+def carried(docs: DataFrame, *used: str) -> DataFrame:
+    """The columns that an operator reads, and the whole given row in one more."""
+    return docs.select(*[F.col(f"`{c}`") for c in used], F.struct("*").alias(GIVEN))
+
+
 def documents(docs: DataFrame, *more: str) -> DataFrame:
     """Only ids and texts of a documents table; other columns are not read."""
     return docs.select("doc_id", "text", *more)
@@ -52,12 +61,16 @@ def flat(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def slices(
-    batches: Iterator[pa.RecordBatch], column: str = "text", size: int = SLICE_BYTES
+    batches: Iterator[pa.RecordBatch], *columns: str, size: int = SLICE_BYTES
 ) -> Iterator[pa.RecordBatch]:
-    """Batches cut so that temporary arrays stay small whatever the length of texts."""
+    """Batches cut so that temporary arrays stay small whatever the length of texts, those of
+    all named columns together."""
     for batch in batches:
-        lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0)
-        block = np.cumsum(lengths.to_numpy(zero_copy_only=False).astype(np.int64)) // size
+        total = np.zeros(len(batch), np.int64)
+        for column in columns or ("text",):
+            lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0)
+            total += lengths.to_numpy(zero_copy_only=False)
+        block = np.cumsum(total) // size
         cuts = np.flatnonzero(np.diff(block)) + 1
         for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(batch)], strict=True):
             if b > a:

@@ -46,6 +46,8 @@ BITS = 4096
 #: Deviations, and a constant, by which an estimate may fall below the threshold.
 DEVIATIONS = 6
 SLACK = 0.01
+#: Text bytes of a slice of candidate pairs, both sides.
+PAIR_BYTES = 1_000_000
 SMALL = 32
 BLOCK = 2000
 FORESTS = 1
@@ -180,7 +182,7 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Da
         return needed.select(F.col("doc_id").alias(name), F.col("text").alias(f"text_{name}"))
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text_a"):
+        for batch in slices(batches, "text_a", "text_b", size=PAIR_BYTES):
             # A bucket's smallest is in many pairs; its set is made once.
             a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
             first = {x: i for i, x in reversed(list(enumerate(a)))}

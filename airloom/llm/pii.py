@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airloom.llm.common import SPACE, documents, materialize, table, texts
+from airloom.llm.common import GIVEN, SPACE, carried, documents, materialize, table, texts
 from airloom.session import broadcast_checked
 
 # What the kinds look like, in the order that ties follow. The forms with \\G and
@@ -301,10 +301,10 @@ def mask(text: Column, spans: str) -> Column:
 
 
 def stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents with all spans masked."""
-    merged, masked = mask(F.col("text"), "spans")
+    """Documents with all spans masked, and the columns they came with, whatever their names."""
+    merged, masked = mask(F.col(f"{GIVEN}.text"), "spans")
+    found = find(carried(docs, "doc_id", "text"), GIVEN).withColumn("merged", merged)
     own = {"text": masked}
     if "n_chars" in docs.columns:
         own["n_chars"] = F.length(masked).cast(docs.schema["n_chars"].dataType)
-    found = find(docs, *docs.columns).withColumn("merged", merged)
-    return found.withColumns(own).select(*docs.columns)
+    return found.select(*[own.get(c, F.col(f"{GIVEN}.`{c}`")).alias(c) for c in docs.columns])

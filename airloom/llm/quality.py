@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airloom.llm.common import SPACE, WORD, documents, materialize, table, texts
+from airloom.llm.common import GIVEN, SPACE, WORD, carried, documents, materialize, table, texts
 from airloom.session import broadcast_checked
 
 # Common words of the languages, as they are written within a sentence.
@@ -227,8 +227,9 @@ def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents that pass, with the columns they came with."""
-    return judge(docs).filter("kept").select(*docs.columns)
+    """Documents that pass, with the columns they came with, whatever their names."""
+    given = carried(docs, "text", "lang")
+    return judge(given, drop=("text",)).filter("kept").select(f"{GIVEN}.*")
 
 
 def _common_sql() -> str:
