@@ -1,6 +1,6 @@
 """Registered queries and their SQL."""
 
-from airloom.catalog import cleaning, flows, models, shaping, sources, spatial  # noqa: F401
+from airloom.catalog import cleaning, flows, models, shaping, sources, spatial, storage  # noqa: F401
 from airloom.catalog.base import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
