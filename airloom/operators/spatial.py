@@ -25,6 +25,8 @@ TILE_CELLS = 64
 MAX_LEVEL = 12
 # Stations that meet the tiles of the first level in one part.
 PART_STATIONS = 2000
+# Pairs of a station and a granule that one task starts with.
+PART_PAIRS = 200_000
 
 
 def _tile(value: Column, origin: float, side: float, level: int) -> Column:
@@ -64,10 +66,13 @@ def nearest_cells(
     at_point = Window.partitionBy(*by, "lat", "lon").orderBy("cell_id")
     cells = cells.withColumn("__n", F.row_number().over(at_point)).where(F.col("__n") <= k)
     cells = materialize(cells.drop("__n"), "cells")
-    box = cells.agg(
-        F.min("lat"), F.max("lat"), F.min("lon"), F.max("lon"), F.count(F.lit(1))
+    # One pass for the extent, the number of granules and the cells of the largest.
+    own = [F.min("lat"), F.max("lat"), F.min("lon"), F.max("lon"), F.count(F.lit(1))]
+    per = cells.groupBy(*by).agg(*[c.alias(n) for c, n in zip(own, ("s", "n", "w", "e", "cells"), strict=True)])
+    lat0, lat1, lon0, lon1, largest, granules = per.agg(
+        F.min("s"), F.max("n"), F.min("w"), F.max("e"), F.max("cells"), F.count(F.lit(1))
     ).first()
-    lat0, lat1, lon0, lon1, total = box
+    largest = largest or 0
     lat0, lon0 = lat0 or 0.0, lon0 or 0.0
     side = max((lat1 or 0.0) - lat0, (lon1 or 0.0) - lon0) or 1.0
 
@@ -78,9 +83,6 @@ def nearest_cells(
             _tile(F.col("lon"), lon0, side, level).alias("tx"),
         )
 
-    largest = total
-    if by:
-        largest = cells.groupBy(*by).count().agg(F.max("count")).first()[0] or 0
     level = 1
     while level < MAX_LEVEL and largest > tile_cells / 4 * 16**level:
         level += 1
@@ -121,15 +123,26 @@ def nearest_cells(
         F.col("latitude").cast("double").alias("slat"),
         F.col("longitude").cast("double").alias("slon"),
     )
-    # Every station meets the root tile, of every granule. Stations are dealt into parts and the
-    # few tiles of the first levels repeated for each, so that the pairing is an even equi-join.
-    parts = max(1, math.ceil(points.count() / PART_STATIONS))
-    every = F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part")
-    part = F.pmod(F.xxhash64("station"), F.lit(parts)).cast("int")
+    # Every station meets the root tile of every granule, as many pairs as there will be groups of
+    # neighbours. Granules and stations are dealt into parts both ways, each part of one meeting
+    # each part of the other under a key of its own, so the pairs spread over tasks.
+    count = points.count()
+    rows = max(1, math.ceil(count / PART_STATIONS))
+    columns = max(1, min(granules, math.ceil(granules * count / rows / PART_PAIRS)))
+    if rows * columns == 1:
+        rows = 2
+
+    def part(key: Sequence[str], parts: int) -> Column:
+        return F.pmod(F.xxhash64(*key), F.lit(parts)).cast("int") if key else F.lit(0)
+
+    def each(parts: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
+
     roots = tiles.where("level = 0").select(
-        *by, F.col("ty").alias("py"), F.col("tx").alias("px"), every
+        *by, F.col("ty").alias("py"), F.col("tx").alias("px"), part(by, columns).alias("column"), each(rows).alias("part")
     )
-    held = roots.join(points.withColumn("part", part), "part")
+    dealt = points.select("*", part(["station"], rows).alias("part"), each(columns).alias("column"))
+    held = roots.join(dealt, ["part", "column"]).drop("column")
     held = held.withColumn("bound", F.lit(math.inf))
 
     for z in range(1, level + 1):
@@ -140,7 +153,7 @@ def nearest_cells(
         )
         keys = [*by, "py", "px"]
         if z == 1:
-            here, keys = here.select("*", every), [*keys, "part"]
+            here, keys = here.select("*", each(rows).alias("part")), [*keys, "part"]
         met = held.join(here, keys).drop(*keys[len(by) :])
         dy, dx = _gap(F.col("slat"), F.col("s"), F.col("n")), _gap(F.col("slon"), F.col("w"), F.col("e"))
         ry, rx = _reach(F.col("slat"), F.col("s"), F.col("n")), _reach(F.col("slon"), F.col("w"), F.col("e"))
