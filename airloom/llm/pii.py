@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airloom.llm.common import GIVEN, SPACE, carried, documents, materialize, table, texts
+from airloom.llm.common import GIVEN, SPACE, SPACES, WORD, carried, documents, materialize, table, texts
 from airloom.session import broadcast_checked
 
 # What the kinds look like, in the order that ties follow. The forms with \\G and
@@ -43,8 +43,7 @@ ROUNDS = 3
 #: Confidence and number of different instances that a pattern needs.
 CONFIDENCE = 0.6
 SUPPORT = 5
-#: Characters of a gap in which the next word is looked for.
-CONTEXT = 48
+BLANK = r"[\x20\x09-\x0D]"
 
 
 def _matches(pattern: str, hint: str) -> Column:
@@ -56,6 +55,25 @@ def _matches(pattern: str, hint: str) -> Column:
     return F.struct(hits.alias("hits"), gaps.alias("gaps"))
 
 
+def _blocks(column: str | Column, n: Column) -> Column:
+    """An array cut into blocks of about the square root of its length, so that growing one block
+    at a time costs no more than the root for each element."""
+    size = F.greatest(F.ceil(F.sqrt(n)).cast("int"), F.lit(1))
+    at = F.sequence(F.lit(0), F.greatest(F.ceil(n / size).cast("int") - 1, F.lit(0)))
+    return F.transform(at, lambda i: F.slice(column, i * size + 1, size))
+
+
+def _starting(lengths: Column, total) -> Column:
+    """How much comes before each element: the running sum, itself not included."""
+    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts"))
+    return F.aggregate(
+        lengths,
+        zero,
+        lambda a, x: F.struct((a["at"] + total(x)).alias("at"), F.concat(a["starts"], F.array(a["at"])).alias("starts")),
+        lambda a: a["starts"],
+    )
+
+
 def _placed(found: str) -> Column:
     """Starts of the matches: all gaps and matches before them."""
     lengths = F.zip_with(
@@ -63,16 +81,20 @@ def _placed(found: str) -> Column:
         f"{found}.hits",
         lambda gap, hit: F.struct(F.length(gap).alias("gap"), F.length(hit).alias("hit")),
     )
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts"))
-    return F.aggregate(
-        lengths,
-        zero,
-        lambda a, x: F.struct(
-            (a["at"] + x["gap"] + x["hit"]).alias("at"),
-            F.concat(a["starts"], F.array(a["at"] + x["gap"])).alias("starts"),
-        ),
-        lambda a: a["starts"],
+    blocks = _blocks(lengths, F.size(f"{found}.hits"))
+
+    def total(x: Column) -> Column:
+        return x["gap"] + x["hit"]
+
+    def whole(block: Column) -> Column:
+        return F.aggregate(block, F.lit(0), lambda a, x: a + total(x))
+
+    within = F.zip_with(
+        blocks,
+        _starting(F.transform(blocks, whole), lambda x: x),
+        lambda block, before: F.zip_with(block, _starting(block, total), lambda x, at: before + at + x["gap"]),
     )
+    return F.flatten(within)
 
 
 def _luhn(digits: Column) -> Column:
@@ -100,9 +122,11 @@ def _valid(kind: str, value: Column) -> Column:
 
 def _word(gap: Column, side: str) -> Column:
     """The word next to a match, lower-cased, without marks around it; empty if there is none."""
-    near = F.right(gap, F.lit(CONTEXT)) if side == "left" else F.left(gap, F.lit(CONTEXT))
-    words = F.array_remove(F.split(near, SPACE), "")
-    word = F.get(words, F.size(words) - 1) if side == "left" else F.get(words, F.lit(0))
+    # The blanks beside the match, however many, and the word behind them.
+    if side == "left":
+        word = F.regexp_replace(F.rtrim(gap, F.lit(SPACES.decode())), rf"(?s)\A.*{BLANK}", "")
+    else:
+        word = F.regexp_extract(F.ltrim(gap, F.lit(SPACES.decode())), rf"\A({WORD}|)", 1)
     return F.coalesce(F.lower(F.regexp_replace(word, r"^[\p{Punct}]+|[.,;!?\"')]+$", "")), F.lit(""))
 
 
@@ -269,41 +293,63 @@ def op6_pii_bootstrap(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def mask(text: Column, spans: str) -> Column:
-    """The text with every span replaced by its kind in angle brackets, overlapping ones as one."""
-    kind = "array<struct<start:int,end:int,kind:string>>"
+def mask(text: Column, spans: str) -> tuple[Column, Column]:
+    """``merged``, the spans with overlapping ones as one, of the first one's kind; and the text
+    with every one of them replaced by its kind in angle brackets.
+
+    A span starts a new one if it starts at or behind the end of all before it. Both the ends
+    before and the pieces of text are made block by block.
+    """
+    n = F.size(spans)
+    blocks = _blocks(spans, n)
+
+    def furthest(block: Column) -> Column:
+        return F.aggregate(block, F.lit(0), lambda a, s: F.greatest(a, s["end"]))
 
-    def merge(a: Column, s: Column) -> Column:
-        last = F.get(a, F.size(a) - 1)
-        own = F.array(F.struct(s["start"], s["end"], s["kind"]))
-        longer = F.array(F.struct(last["start"], F.greatest(last["end"], s["end"]), last["kind"]))
-        apart = F.coalesce(s["start"] >= last["end"], F.lit(True))
-        return F.when(apart, F.concat(a, own.cast(kind))).otherwise(
-            F.concat(F.slice(a, F.lit(1), F.greatest(F.size(a) - 1, F.lit(0))), longer.cast(kind))
+    def running(lengths: Column, of) -> Column:
+        zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("ends"))
+        return F.aggregate(
+            lengths,
+            zero,
+            lambda a, x: F.struct(F.greatest(a["at"], of(x)).alias("at"), F.concat(a["ends"], F.array(a["at"])).alias("ends")),
+            lambda a: a["ends"],
         )
 
-    merged = F.aggregate(spans, F.array().cast(kind), merge)
-    parts = F.transform(
-        merged,
-        lambda s, i: F.concat(
-            F.substring(
-                text,
-                F.coalesce(F.get("merged", i - 1)["end"], F.lit(0)) + 1,
-                s["start"] - F.coalesce(F.get("merged", i - 1)["end"], F.lit(0)),
-            ),
-            F.lit("<"),
-            s["kind"],
-            F.lit(">"),
-        ),
+    before = F.flatten(
+        F.zip_with(
+            blocks,
+            running(F.transform(blocks, furthest), lambda x: x),
+            lambda block, so_far: F.transform(running(block, lambda s: s["end"]), lambda e: F.greatest(e, so_far)),
+        )
     )
-    rest = F.substring(text, F.element_at("merged", -1)["end"] + 1, F.length(text))
-    return merged, F.when(F.size("merged") == 0, text).otherwise(F.concat(F.array_join(parts, ""), rest))
+    seen = F.zip_with(
+        spans, before,
+        lambda s, e: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), e.alias("before")),
+    )
+    # A merged span ends where the next one's text before it begins to count: at its ``before``.
+    first = F.filter(seen, lambda s: s["start"] >= s["before"])
+    parts = _blocks("merged", F.size("merged"))
+
+    def replaced(block: Column) -> Column:
+        low = F.get(block, F.lit(0))["before"]
+        own = F.substring(text, low + 1, F.get(block, F.size(block) - 1)["start"] - low)
+        pieces = F.transform(
+            block,
+            lambda s: F.concat(F.substring(own, s["before"] - low + 1, s["start"] - s["before"]), F.lit("<"), s["kind"], F.lit(">")),
+        )
+        return F.when(F.size(block) > 0, F.array_join(pieces, "")).otherwise("")
+
+    rest = F.substring(text, F.col("masked_to") + 1, F.length(text))
+    whole = F.concat(F.array_join(F.transform(parts, replaced), ""), rest)
+    return first, F.when(F.size("merged") == 0, text).otherwise(whole)
 
 
 def stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents with all spans masked, and the columns they came with, whatever their names."""
     merged, masked = mask(F.col(f"{GIVEN}.text"), "spans")
-    found = find(carried(docs, "doc_id", "text"), GIVEN).withColumn("merged", merged)
+    found = find(carried(docs, "doc_id", "text"), GIVEN).withColumns(
+        {"merged": merged, "masked_to": F.aggregate("spans", F.lit(0), lambda a, s: F.greatest(a, s["end"]))}
+    )
     own = {"text": masked}
     if "n_chars" in docs.columns:
         own["n_chars"] = F.length(masked).cast(docs.schema["n_chars"].dataType)
