@@ -31,6 +31,10 @@ from airloom.llm.common import documents, slices, table
 BLANK = "▁"
 CACHED_WORDS = 1_000_000
 CACHED_PAIRS = 1_000_000
+#: Longer words are not remembered, so that the number of words bounds the memory.
+KEPT_CHARS = 64
+#: Bits of a piece key that say whether there can be such a piece.
+SEEN_BITS = 20
 #: Fewer words of a length advance one by one.
 FEW = 6
 
@@ -74,6 +78,8 @@ class Pieces:
         keys = np.array([self._hash(p) for p in reached], np.uint64)
         order = np.argsort(keys)
         self.keys, self.key_ids = keys[order], np.array([self.id[p] for p in reached])[order]
+        self.seen = np.zeros(1 << SEEN_BITS, bool)
+        self.seen[(self.keys >> np.uint64(64 - SEEN_BITS)).astype(np.int64)] = True
         self.reached = {p: self.id[p] for p in reached}
         # Verdicts on pairs: sorted ones, of which the first is none, and those of the last words.
         self.pairs, self.verdicts = np.array([-1]), np.array([False])
@@ -152,8 +158,11 @@ class Pieces:
             for size in range(1, min(self.longest, j) + 1):
                 i = j - size
                 key = prefix[j] - prefix[i] * powers[size]
-                place = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-                found = np.where(self.keys[place] == key, self.key_ids[place], -1)
+                found = np.full(n, -1, np.int64)
+                # Most stretches are no piece, and their keys' first bits tell.
+                near = np.flatnonzero(self.seen[(key >> np.uint64(64 - SEEN_BITS)).astype(np.int64)])
+                place = np.minimum(np.searchsorted(self.keys, key[near]), len(self.keys) - 1)
+                found[near] = np.where(self.keys[place] == key[near], self.key_ids[place], -1)
                 # Within a stretch a prefix always has a path, so only pieces need be looked at.
                 rows = np.flatnonzero((found >= 0) | (size == 1))
                 if i and len(rows):
@@ -216,7 +225,10 @@ class Pieces:
             new = set(chain.from_iterable(split))
         self.learn(new)
         get = self.words.__getitem__
-        return [np.frombuffer(b"".join(map(get, words)), "<i4") for words in split]
+        out = [np.frombuffer(b"".join(map(get, words)), "<i4") for words in split]
+        for word in [w for w in new if len(w) > KEPT_CHARS]:
+            del self.words[word]
+        return out
 
     def decode(self, ids: np.ndarray) -> str:
         length = self.raw_length[ids]
@@ -266,9 +278,10 @@ def _lists(ids: list[np.ndarray]) -> pa.Array:
 DIGESTS = "doc_id long, n_bytes long, n_tokens long, ids_sha256 string, round_trip boolean"
 
 
-def digests(docs: DataFrame, path: str) -> DataFrame:
+def digests(docs: DataFrame, path: str, with_ids: bool = False) -> DataFrame:
     """Tokens of every document, a digest of their ids (32 bits each, little-endian), and whether
-    decoding them gives the text again."""
+    decoding them gives the text again; the ids too, if asked for."""
+    names = [c.split(" ")[0] for c in DIGESTS.split(", ")] + ["ids"] * with_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = Pieces.of(path)
@@ -281,12 +294,13 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
                     pa.array([len(t.encode()) for t in texts], pa.int64()),
                     pa.array(list(map(len, ids)), pa.int64()),
                     pa.array([hashlib.sha256(x.tobytes()).hexdigest() for x in ids]),
-                    pa.array([pieces.decode(x) == t for x, t in zip(ids, texts, strict=True)]),
+                    pa.array([pieces.decode(x) == t for x, t in zip(ids, texts, strict=True)], pa.bool_()),
+                    *([_lists(ids)] if with_ids else []),
                 ],
-                ["doc_id", "n_bytes", "n_tokens", "ids_sha256", "round_trip"],
+                names,
             )
 
-    return documents(docs).mapInArrow(run, DIGESTS)
+    return documents(docs).mapInArrow(run, DIGESTS + ", ids array<int>" * with_ids)
 
 
 def model_path() -> str:
@@ -300,5 +314,5 @@ def op8_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """The last stage: what is kept, as token ids."""
-    return digests(docs, model_path())
+    """The last stage: what is kept as token ids, with their number and digest."""
+    return digests(docs, model_path(), with_ids=True)

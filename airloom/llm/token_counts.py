@@ -30,6 +30,8 @@ CHUNK_CHARS = 32_768
 OVERLAP = 512
 LIMIT = 2048
 CACHED_WORDS = 400_000
+#: Longer words are not remembered, so that the number of words bounds the memory.
+KEPT_BYTES = 64
 
 SCHEMA = "doc_id long, n_bytes long, n_tokens long, over_limit boolean, n_chunks long, n_widened long"
 
@@ -60,7 +62,10 @@ class Counter:
             new = list({w for words in split for w in words})
         encoded = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
         known.update(zip(new, map(len, encoded), strict=True))
-        return [sum(map(known.__getitem__, words)) for words in split]
+        out = [sum(map(known.__getitem__, words)) for words in split]
+        for word in [w for w in new if len(w) > KEPT_BYTES]:
+            del known[word]
+        return out
 
     def starts(self, text: str, begin: int, end: int) -> list[int]:
         """Where the tokens of a part of the text start."""
