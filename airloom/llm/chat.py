@@ -6,30 +6,31 @@ stay system messages. Only what the assistant says, with the mark that ends it,
 
 Renderings come in parts of at most ``part_messages`` messages, so that a conversation of any
 length is never gathered in one place; parts in order, joined, are the whole dialogue. Messages
-are numbered by turn, then role and text: turns are counted per range of turns first, and numbered
-within a range, so a long conversation is spread over tasks too.
+are numbered by turn, then role and text; a conversation above ``MAX_MESSAGES`` is cut into slices
+along these for that, so a long one is spread over tasks too, whatever its turns are.
 
 Rows without a conversation are in none and left out. A missing role is the speaker ``unknown``, a
 missing text is empty, a missing turn comes first. Equal rows (conversation, turn, role, text) are
-one message. A conversation of system messages alone has no perspective. Marks of the format
+as many messages. A conversation of system messages alone has no perspective. Marks of the format
 inside a text are broken up. Other columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from airloom.llm.common import table
+from airloom.operators.ordered import with_positions
 
 PART_MESSAGES = 64
-TURNS_PER_RANGE = 256
+#: Messages that one task numbers.
+MAX_MESSAGES = 200_000
 SYSTEM = "system"
 
 
-def numbered(turns: DataFrame) -> DataFrame:
-    """Distinct messages with ``n``, their place in the conversation from 0."""
+def numbered(turns: DataFrame, max_messages: int = MAX_MESSAGES) -> DataFrame:
+    """Messages with ``n``, their place in the conversation from 0."""
     messages = (
         turns.filter(F.col("conv_id").isNotNull())
         .select(
@@ -38,24 +39,14 @@ def numbered(turns: DataFrame) -> DataFrame:
             F.coalesce("role", F.lit("unknown")).alias("speaker"),
             F.coalesce("text", F.lit("")).alias("content"),
         )
-        .distinct()
-        .withColumn("range", F.floor(F.col("turn") / TURNS_PER_RANGE))
-    )
-    ranges = messages.groupBy("conv_id", "range").agg(F.count("*").alias("size"))
-    before = W.partitionBy("conv_id").orderBy(F.asc_nulls_first("range"))
-    offsets = ranges.select(
-        F.col("conv_id").alias("c"),
-        F.col("range").alias("r"),
-        (F.sum("size").over(before) - F.col("size")).alias("offset"),
-    )
-    within = W.partitionBy("conv_id", "range").orderBy(
-        F.asc_nulls_first("turn"), "speaker", "content"
-    )
-    own = messages.withColumn("i", F.row_number().over(within) - 1)
-    match = (F.col("conv_id") == F.col("c")) & F.col("range").eqNullSafe(F.col("r"))
-    return own.join(offsets, match).select(
-        "conv_id", "speaker", "content", (F.col("offset") + F.col("i")).alias("n")
+        .groupBy("conv_id", "turn", "speaker", "content")
+        .agg(F.count(F.lit(1)).alias("copies"))
+        # Copies are told apart by a number, so that even a hot one can be cut.
+        .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+        .drop("copies")
     )
+    placed = with_positions(messages, ["conv_id"], ["turn", "speaker", "content", "copy"], "n", max_messages)
+    return placed.select("conv_id", "speaker", "content", (F.col("n") - 1).alias("n"))
 
 
 def rotate(turns: DataFrame, part_messages: int = PART_MESSAGES) -> DataFrame:
@@ -117,8 +108,7 @@ def op3_chat_perspectives(spark: SparkSession, folder: str) -> DataFrame:
 
 SQL = f"""
 with messages as (
-    select distinct conv_id, turn, coalesce(role, 'unknown') as speaker,
-           coalesce(text, '') as content
+    select conv_id, turn, coalesce(role, 'unknown') as speaker, coalesce(text, '') as content
     from conversations where conv_id is not null),
 numbered as (
     select *, row_number() over (partition by conv_id
