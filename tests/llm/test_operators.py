@@ -217,6 +217,24 @@ def test_components(spark, task_links):
     assert found == {n: find(n) for n in list(top)}
 
 
+def test_components_of_a_long_path_take_few_levels(spark, monkeypatch):
+    r = random.Random(5)
+    names = r.sample(range(10**9), 100_001)
+    links = [(min(a, b), max(a, b)) for a, b in zip(names, names[1:], strict=False)]
+    links += [(5 * 10**9, 5 * 10**9 + i) for i in range(1, 300)]
+    levels, contracted = [], components._contracted
+
+    def counted(links, level):
+        levels.append(level)
+        return contracted(links, level)
+
+    monkeypatch.setattr(components, "_contracted", counted)
+    found = components.components(spark.createDataFrame(links, "a long, b long"), 1000)
+    sizes = {x["component"]: x["count"] for x in found.groupBy("component").count().collect()}
+    assert sizes == {min(names): 100_001, 5 * 10**9: 300}
+    assert len(levels) <= 8
+
+
 def test_token_counts(docs):
     import public_tokenizers
     from tokenizers import Tokenizer
@@ -361,6 +379,32 @@ def test_pii_bootstrap_and_mask(spark):
     assert masked[201] == ""
 
 
+def test_words_behind_long_gaps_are_context(spark):
+    def doc(i, gap):
+        return f"{prose(20, i)} passport:{gap}user{i}@mail.example.com {prose(20, -i)}"
+
+    rows = [(i, doc(i, " ")) for i in range(30)] + [(100, f"{prose(9, 1)} passport:{' ' * 300}AB4711Q\n\n{prose(9, 2)}")]
+    found = {r["doc_id"]: r["spans"] for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id").collect()}
+    (span,) = found[100]
+    assert rows[30][1][span["start"] : span["end"]] == "AB4711Q"
+
+
+def test_texts_full_of_matches(spark):
+    r = random.Random(14)
+    pieces_ = [r.choice(["10.0.0.1", "+1 499 555 65 03", "a@b.cd", "x", "4111 1111 1111 1111", "12"]) for _ in range(6000)]
+    text = " é ".join(pieces_)
+    docs = spark.createDataFrame([(1, text), (2, "+1 499 a@b.cd")], "doc_id long, text string")
+    spans = {x["doc_id"]: x["base"] for x in pii.find(docs, "doc_id").collect()}[1]
+    assert [f"{s['kind']}:{s['start']}:{s['end']}" for s in spans] == base_spans(text)
+    masked, at, kinds = [], 0, [s for s in spans]
+    for s in kinds:
+        if s["start"] >= at:
+            masked += [text[at : s["start"]], f"<{s['kind']}>"]
+        at = max(at, s["end"])
+    (row,) = (x for x in pii.stage(spark, docs, "").collect() if x["doc_id"] == 1)
+    assert row["text"] == "".join(masked) + text[at:]
+
+
 def test_mask_merges_overlaps(spark):
     text = "ab+1 (499) 555-65 03 03@x.yz end"
     docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
@@ -403,7 +447,9 @@ def test_distance(spark):
     frame = spark.createDataFrame([([1.0, 0.0], [0.0, 1.0], [0.5, 0.5])], "a array<double>, b array<double>, c array<double>")
     row = frame.select(quality.distance("a", "b").alias("x"), quality.distance("c", "c").alias("y"), quality.distance("a", "c").alias("z")).first()
     assert row["x"] == pytest.approx(1.0) and row["y"] == 0.0
-    assert row["z"] == pytest.approx(((0.75 * 0 + 0.5 * np.log2(4 / 3) * 1 + 0.25 * np.log2(2 / 3) + 0.25) ** 0.5), abs=0.35)
+    # Of (1, 0) and (1/2, 1/2): their mean is (3/4, 1/4).
+    wanted = (np.log2(4 / 3) + 0.5 * np.log2(2 / 3) + 0.5 * np.log2(2)) / 2
+    assert row["z"] == pytest.approx(wanted**0.5, abs=1e-9)
 
 
 def test_chat(spark):
@@ -412,12 +458,19 @@ def test_chat(spark):
     found = chat.rotate(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), 64).collect()
     assert {(r["conv_id"], r["perspective"]) for r in found} == {(1, "anna"), (1, "bo"), (1, "unknown"), (3, "anna"), (3, "bo")}
     own = sorted((r for r in found if (r["conv_id"], r["perspective"]) == (1, "bo")), key=lambda r: r["part"])
-    assert [r["n_messages"] for r in own] == [64, 64, 64, 8]
+    # The repeated message is there twice.
+    assert [r["n_messages"] for r in own] == [64, 64, 64, 9]
     whole = "".join(r["text"] for r in own)
-    assert re.findall(r"m\d+", whole) == [f"m{t}" for t in range(200)]
-    assert whole.startswith("<|im_start|>user name=anna\nm0<|im_end|>\n<|im_start|>assistant\nm1<|im_end|>\n")
+    assert re.findall(r"m\d+", whole) == ["m0", *(f"m{t}" for t in range(200))]
+    assert whole.startswith("<|im_start|>user name=anna\nm0<|im_end|>\n" * 2 + "<|im_start|>assistant\nm1<|im_end|>\n")
     said = [r["text"][int(a) : int(b)] for r in own for a, b in (s.split(":") for s in r["mask"].split(","))]
     assert said == [f"m{t}<|im_end|>" for t in range(1, 200, 4)]
+    for limit in (1000, 7):
+        hot = [(5, None, "a", "ok"), (5, 3, "b", "x")] * 40 + [(5, 3, "b", f"y{t % 20}") for t in range(60)]
+        hot = spark.createDataFrame(hot, "conv_id long, turn long, role string, text string")
+        placed = sorted(tuple(r) for r in chat.numbered(hot, limit).collect())
+        wanted = sorted((r["turn"] is not None, r["role"], r["text"]) for r in hot.collect())
+        assert sorted((r[3], *r[1:3]) for r in placed) == [(i, role, text) for i, (_, role, text) in enumerate(wanted)]
     (third,) = (r for r in found if (r["conv_id"], r["perspective"]) == (3, "anna"))
     assert third["text"] == "<|im_start|>assistant\n<|im_end|>\n<|im_start|>user name=bo\n<| im_end |><|im_end|>\n"
 
