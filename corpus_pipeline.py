@@ -1,4 +1,14 @@
-"""From raw documents to token ids: rules, near-dedup, decontamination, masking, encoding."""
+"""From raw documents to token ids: rules, near-dedup, decontamination, masking, encoding.
+
+Every stage but the last returns the columns it was given, whatever their names, with the rows it
+keeps; masking changes ``text`` and, where it is there, ``n_chars``. The last returns doc_id,
+n_bytes, n_tokens, ids, their digest, and whether decoding them gives the text again.
+
+A missing text is empty and fails the rules. A missing language has a reference of its own; a
+missing doc_id is linked with nothing and contains no benchmark item. Near-dedup takes a doc_id for
+one document: of a group the smallest stays, repeated rows of it too. Texts are processed whole,
+whatever their length. An empty table gives an empty result.
+"""
 
 from __future__ import annotations
 
