@@ -39,8 +39,6 @@ PART_CELLS = 16_000_000
 MODELS_AT_ONCE = 256
 #: Rows times models of a slab.
 SLAB_CELLS = 2_000_000
-#: Sums held densely.
-DENSE = 1 << 22
 #: Rows that each side of a split must have.
 MIN_SIDE = 1.0
 #: A smaller gain is rounding.
@@ -134,22 +132,26 @@ class Round:
         return cls(np.full(shape, -1, np.int32), np.zeros(shape, np.int32), np.zeros(shape, bool), *zeros)
 
     def nodes(self, bins: np.ndarray, levels: int) -> np.ndarray:
-        """The node of every row in every model's tree after so many levels."""
-        row, model = np.arange(len(bins))[:, None], np.arange(len(self.column))[None, :]
-        node = np.zeros((len(bins), len(self.column)), np.int32)
-        for _ in range(levels):
-            column = self.column[model, node]
-            inner = column >= 0
-            if not inner.any():
-                break
-            own = bins[row, np.maximum(column, 0)]
-            right = np.where(own < 0, ~self.left[model, node], own >= self.cut[model, node])
-            node = np.where(inner, 2 * node + 1 + right, node)
-        return node
+        """The node of every row, a line per model, after so many levels."""
+        cells = bins.ravel()
+        begin = np.arange(len(bins)) * bins.shape[1]
+        out = np.zeros((len(self.column), len(bins)), np.int64)
+        for model, node in enumerate(out):
+            columns, cuts, goes_right = self.column[model], self.cut[model], ~self.left[model]
+            if columns[0] < 0:
+                continue
+            for _ in range(levels):
+                column = columns.take(node)
+                inner = column >= 0
+                own = cells.take(begin + np.maximum(column, 0))
+                right = np.where(own < 0, goes_right.take(node), own >= cuts.take(node))
+                node[:] = np.where(inner, 2 * node + 1 + right, node)
+        return out
 
     def outputs(self, bins: np.ndarray) -> np.ndarray:
+        """What every model's tree adds for every row, a line per model."""
         depth = (self.column.shape[1] + 1).bit_length() - 2
-        return self.value[np.arange(len(self.value))[None, :], self.nodes(bins, depth)]
+        return np.take_along_axis(self.value, self.nodes(bins, depth), axis=1)
 
     def close(self, models: Sequence[Model]) -> None:
         """Takes back weak splits from the leaves up and sets the leaves' values."""
@@ -250,44 +252,33 @@ def _sums(
     share = np.array([m.setting.row_share for m in models])
     first, nodes = (1 << level) - 1, 1 << level
 
+    names = ["model", "node", "column", "bin", "g", "h"]
+    kinds = [pa.int32()] * 4 + [pa.float64()] * 2
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _slabs(batches, count):
-            bins = _matrix(batch.column("__bins"), np.int16, columns)
-            preds = _matrix(batch.column("__preds"), np.float64, count)
+            bins = _matrix(batch.column("__bins"), np.int16, columns).astype(np.int64)
+            preds = _matrix(batch.column("__preds"), np.float64, count).T.copy()
             for trees in pending:
-                preds = preds + trees.outputs(bins)
-            at = now.nodes(bins, level) - first
-            own_part = batch.column("__part").to_numpy()[:, None]
-            own_fold = batch.column("__fold").to_numpy()[:, None]
-            drawn = batch.column("__draw").to_numpy()[:, None] < share
-            train = (own_part >= 0) & (own_part != part) & (own_fold != fold) & drawn & (at >= 0)
-            train &= open_[np.arange(count)[None, :], np.maximum(at, 0)]
-            row, model = np.nonzero(train)
-            y = batch.column("__y").to_numpy()
-            g = preds[row, model] - (y[row] - mean[model]) / deviation[model]
-            place = model * nodes + at[row, model]
-            for c, width in enumerate(widths):
-                use = allowed[model, c]
-                key = (place * width + bins[row, c] + 1)[use]
-                if count * nodes * width <= DENSE:
-                    h, total = np.bincount(key), np.bincount(key, weights=g[use])
-                    found = np.flatnonzero(h)
-                    h, total = h[found], total[found]
-                else:
-                    found, where = np.unique(key, return_inverse=True)
-                    h, total = np.bincount(where), np.bincount(where, weights=g[use])
-                owner = found // width
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array((owner // nodes).astype(np.int32)),
-                        pa.array((owner % nodes + first).astype(np.int32)),
-                        pa.array(np.full(len(found), c, np.int32)),
-                        pa.array((found % width - 1).astype(np.int32)),
-                        pa.array(total.astype(float)),
-                        pa.array(h.astype(float)),
-                    ],
-                    ["model", "node", "column", "bin", "g", "h"],
-                )
+                preds += trees.outputs(bins)
+            nodes_of = now.nodes(bins, level) - first
+            own_part, own_fold, draw, y = (batch.column(c).to_numpy() for c in ("__part", "__fold", "__draw", "__y"))
+            places = bins.T + 1
+            found: list[tuple] = []
+            for m in np.flatnonzero(open_.any(axis=1)).tolist():
+                at = nodes_of[m]
+                train = (own_part >= 0) & (own_part != part[m]) & (own_fold != fold[m]) & (draw < share[m]) & (at >= 0)
+                train &= open_[m].take(np.maximum(at, 0))
+                row = np.flatnonzero(train)
+                g = preds[m].take(row) - (y.take(row) - mean[m]) / deviation[m]
+                for c in np.flatnonzero(allowed[m]).tolist():
+                    width = widths[c]
+                    key = at.take(row) * width + places[c].take(row)
+                    h, total = np.bincount(key), np.bincount(key, weights=g)
+                    some = np.flatnonzero(h)
+                    found.append((np.full(len(some), m), some // width + first, np.full(len(some), c), some % width - 1, total[some], h[some]))
+            cells = [np.concatenate(x) for x in zip(*found, strict=True)] if found else [np.zeros(0)] * 6
+            yield pa.RecordBatch.from_arrays([pa.array(x).cast(k) for x, k in zip(cells, kinds, strict=True)], names)
 
     draw = F.shiftrightunsigned(F.xxhash64("__key", F.lit(models[0].setting.seed), F.lit(tree)), 11)
     given = state.select("__part", "__fold", "__y", "__bins", "__preds", (draw / 2.0**53).alias("__draw"))
@@ -427,7 +418,7 @@ def _advanced(state: DataFrame, pending: list[Round], count: int, columns: int)
             bins = _matrix(batch.column("__bins"), np.int16, columns)
             preds = _matrix(batch.column("__preds"), np.float64, count)
             for trees in pending:
-                preds = preds + trees.outputs(bins)
+                preds = preds + trees.outputs(bins).T
             rest = [batch.column(c) for c in names[:-1]]
             yield pa.RecordBatch.from_arrays([*rest, _binary(preds)], names)
 
