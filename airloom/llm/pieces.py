@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from airloom.llm.common import documents, slices, table
 
 BLANK = "▁"
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 150_000
 CACHED_PAIRS = 1_000_000
 #: Longer words are not remembered, so that the number of words bounds the memory.
 KEPT_CHARS = 64
