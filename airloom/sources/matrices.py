@@ -26,13 +26,16 @@ def _cells(line: Column, delimiter: str) -> Column:
     return F.when(line.contains('"'), quoted).otherwise(plain)
 
 
-def _carried(cells: Column) -> Column:
-    """Blank cells take the last one before them that is not."""
-    def last(_: Column, i: Column) -> Column:
-        named = F.filter(F.slice(cells, F.lit(1), i + 1), lambda x: x != "")
-        return F.when(F.size(named) > 0, F.element_at(named, -1)).otherwise("")
-
-    return F.transform(cells, last)
+def _carried(cells: str) -> Column:
+    """What stands over which columns: an array of a name, the first and the last place that it
+    holds for. Blank cells take the last one before them that is not; those before all have none."""
+    last = F.size(cells) - 1
+    return F.transform(
+        "__named",
+        lambda at, i: F.struct(
+            F.get(cells, at).alias("station"), at.alias("from"), (F.coalesce(F.get("__named", i + 1), last + 1) - 1).alias("to")
+        ),
+    )
 
 
 def read_two_row_matrices(spark: SparkSession, folder: str, delimiter: str = ",") -> DataFrame:
@@ -52,8 +55,13 @@ def read_two_row_matrices(spark: SparkSession, folder: str, delimiter: str = ","
     heads = numbered.withColumn("nth", nth).where("nth <= 2").select("path", "nth", "value")
     headers = lookup_table(heads, "headers")
     cells = F.transform(_cells(F.col("value"), delimiter), lambda x: F.trim(x))
-    top = headers.where("nth = 1").select("path", F.posexplode(_carried(cells)).alias("at", "station"))
-    below = headers.where("nth = 2").select("path", F.posexplode(cells).alias("at", "variable"))
+    # Split and searched once a line, before other columns look places up in the arrays.
+    split = materialize(headers.select("path", "nth", cells.alias("cells")), "header-cells")
+    named = F.filter(F.transform("cells", lambda x, i: F.when(x != "", i)), lambda i: i.isNotNull())
+    named = materialize(split.where("nth = 1").select("path", "cells", named.alias("__named")), "header-names")
+    spans = named.select("path", F.inline(_carried("cells")))
+    top = spans.select("path", "station", F.explode(F.sequence("from", "to")).alias("at"))
+    below = split.where("nth = 2").select("path", F.posexplode("cells").alias("at", "variable"))
     columns = top.join(below, ["path", "at"]).where("at > 0 and station <> '' and variable <> ''")
     columns = lookup_table(columns, "matrix-columns")
     # A line that repeats one of the two, as joined exports do, is no data either.
@@ -84,13 +92,26 @@ def write_two_row_matrices(df: DataFrame, folder: str, file: str) -> None:
             F.struct(F.lit(1).alias("order"), F.concat_ws(",", F.lit("date"), F.transform("columns", lambda c: c["variable"])).alias("value")),
         )).alias("h"),
     )
-    key = F.concat_ws("|", F.col("station").cast("string"), "variable")
-    by_date = rows.groupBy(file, "date").agg(F.map_from_entries(F.collect_list(F.struct(key, F.col("value").cast("string")))).alias("found"))
-    cells = F.transform(
-        "columns", lambda c: F.coalesce(F.try_element_at("found", F.concat_ws("|", c["station"], c["variable"])), F.lit(""))
+    # Cells find their columns by a join; a line is its filled cells and the commas between them.
+    key = F.concat_ws("|", F.col("station").cast("string"), "variable").alias("__key")
+    places = columns.select(file, F.posexplode("columns").alias("at", "c")).select(
+        file, "at", F.concat_ws("|", F.col("c.station"), F.col("c.variable")).alias("__key")
     )
-    body = by_date.join(columns, file).select(
-        file, F.lit(1).alias("order"), F.col("date").alias("by"), F.concat_ws(",", "date", cells).alias("value")
+    text = F.coalesce(F.col("value").cast("string"), F.lit("")).alias("text")
+    placed = rows.select(file, "date", key, text).join(lookup_table(places, "matrix-places"), [file, "__key"])
+    by_date = placed.groupBy(file, "date").agg(F.sort_array(F.collect_list(F.struct("at", "text"))).alias("found"))
+    sizes = columns.select(file, F.size("columns").alias("size"))
+    by_date = materialize(by_date.join(sizes, file), "matrix-lines")
+
+    def cell(one: Column, i: Column) -> Column:
+        before = F.when(i > 0, F.get("found", i - 1)["at"]).otherwise(0)
+        twice = F.raise_error(F.concat(F.lit("two values for column "), one["at"].cast("string"), F.lit(" of one line")))
+        return F.when((i > 0) & (before == one["at"]), twice).otherwise(F.concat(F.repeat(F.lit(","), one["at"] - before), one["text"]))
+
+    filled = F.array_join(F.transform("found", cell), "")
+    rest = F.repeat(F.lit(","), F.col("size") - 1 - F.element_at("found", -1)["at"])
+    body = by_date.select(
+        file, F.lit(1).alias("order"), F.col("date").alias("by"), F.concat_ws(",", "date", F.concat(filled, rest)).alias("value")
     )
     lines = heads.select(file, "h.order", F.lit(None).cast("string").alias("by"), "h.value").unionByName(body)
     ordered = lines.repartition(file).sortWithinPartitions(file, "order", F.asc_nulls_first("by"))

@@ -1,5 +1,6 @@
 """Ledgered ingestion, skip channel, bucketed tables and two-row matrices."""
 
+import time
 import uuid
 
 import pytest
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from airloom.session import fresh_path, materialize
 from airloom.sources.bucketed import left_join_chain, write_bucketed
-from airloom.sources.matrices import read_two_row_matrices
+from airloom.sources.matrices import read_two_row_matrices, write_two_row_matrices
 from airloom.sources.skips import Skips
 from airloom.streaming.ledger import Ledger, ingest
 
@@ -120,3 +121,27 @@ def test_two_row_headers(spark, tmp_path):
         ("Bursa", "NO2", "2020-01-01", "7"), ("İzmir, Merkez", "PM10", "2020-01-02", "3"), ("İzmir, Merkez", "SO2", "2020-01-01", "4"),
     ]
     assert sorted(tuple(r) for r in found.select("station", "variable", "date", "value").collect()) == sorted(wanted)
+
+
+def test_matrix_of_many_columns(spark, tmp_path):
+    """The work grows with the cells: by the square of the columns this takes many minutes."""
+    begun, stations = time.monotonic(), 30_000
+    day = F.when(F.col("id") % 2 == 0, F.lit("2024-01-01")).otherwise(F.lit("2024-01-02"))
+    rows = spark.range(stations).select(
+        F.lit(1).alias("file"), F.col("id").alias("station"), F.explode(F.array(F.lit("a"), F.lit("b"))).alias("variable"),
+        day.alias("date"), F.when(F.col("id") % 5 != 0, F.col("id") / 4).alias("value"),
+    )
+    write_two_row_matrices(rows, str(tmp_path / "wide"), "file")
+    found = read_two_row_matrices(spark, str(tmp_path / "wide"))
+    # Blank cells of the other day come back as nulls.
+    assert found.count() == 4 * stations
+    wanted = rows.where("value is not null").select(F.col("station").cast("string"), "variable", "date", F.col("value").cast("string"))
+    found = found.where("value is not null").select("station", "variable", "date", "value")
+    assert found.exceptAll(wanted).isEmpty() and wanted.exceptAll(found).isEmpty()
+    assert time.monotonic() - begun < 120
+
+
+def test_matrix_takes_one_value_a_cell(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "s", "a", "d", 1.0), (1, "s", "a", "d", 2.0)], "file int, station string, variable string, date string, value double")
+    with pytest.raises(Exception, match="two values"):
+        write_two_row_matrices(rows, str(tmp_path / "twice"), "file")
