@@ -55,3 +55,13 @@ def test_scores_of_ordered_runs(scored, most):
     whole = rows.assign(first=rows["g"].isna()).sort_values(["first", "g", "t", "id"], ascending=[False, True, True, True], na_position="first")
     error, steps = (whole["actual"] - whole["predicted"]).abs(), whole["actual"].diff().abs().iloc[1:]
     assert np.isclose(overall, error.iloc[1:].mean() / steps.mean(), rtol=1e-9)
+
+
+def test_row_hash_is_made_once(spark):
+    frame = spark.range(500).select("id", F.date_add(F.lit("2020-01-01").cast("date"), F.col("id").cast("int")).alias("date"))
+    order = text_hash(["id"])
+    for labelled in (k_folds(frame, ["id"], 3, order=order), random_split(frame, ["id"], order=order), season_split(frame, ["id"], order=order)):
+        assert "__hash" not in labelled.columns
+        assert "md5" not in labelled._jdf.queryExecution().toString()
+    assert {r["n"] for r in k_folds(frame, ["id"], 3, order=order).groupBy("fold").agg(F.count("*").alias("n")).collect()} == {166, 167}
+    assert random_split(frame, ["id"], order=order).where("is_test").count() == 100
