@@ -65,3 +65,22 @@ def test_row_hash_is_made_once(spark):
         assert "md5" not in labelled._jdf.queryExecution().toString()
     assert {r["n"] for r in k_folds(frame, ["id"], 3, order=order).groupBy("fold").agg(F.count("*").alias("n")).collect()} == {166, 167}
     assert random_split(frame, ["id"], order=order).where("is_test").count() == 100
+
+
+def test_search_predicts_held_out_rows_only(spark, monkeypatch):
+    """Errors of shared sums equal those of stored predictions, which are not made for them."""
+    r = np.random.default_rng(8)
+    out = [(i, float(r.integers(0, 30)), float(r.normal()) if i % 9 else None, i % 4 - 1) for i in range(900)]
+    out = [(i, a, b, p, (a - 9) ** 2 + 3 * (b or 0.0)) for i, a, b, p in out]
+    frame = spark.createDataFrame(out, "id long, a double, b double, part int, y double")
+    base = Boosting(rounds=2, depth=2, rate=0.4, row_share=1.0, column_share=1.0, l1=0.2, l2=0.3, bins=32, min_gain=0.5)
+    grid = {"rounds": [1, 2], "l2": [0.3, 20.0], "min_gain": [0.5, 50.0]}
+    scales = {None: (10.0, 9.0), 1: (8.0, 9.0)}
+    given = frame, ["id"], ["a", "b"], "y", F.col("part"), scales, base, grid, 3
+    with monkeypatch.context() as m:
+        m.setattr(S, "_with_outputs", None)
+        _, shared = search(*given)
+    monkeypatch.setattr(S, "fits", lambda *_: False)
+    _, plain = search(*given)
+    for p in scales:
+        np.testing.assert_allclose(shared[p], plain[p], rtol=1e-9)
