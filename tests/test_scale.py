@@ -84,3 +84,21 @@ def test_search_predicts_held_out_rows_only(spark, monkeypatch):
     _, plain = search(*given)
     for p in scales:
         np.testing.assert_allclose(shared[p], plain[p], rtol=1e-9)
+
+
+def test_small_forests_are_walked_as_arrays(spark, monkeypatch):
+    r = np.random.default_rng(4)
+    out = [(i, float(r.normal()) if i % 5 else None, float(r.integers(0, 6)) if i % 7 else float("nan"), float(r.normal()), i % 4 if i % 11 else None) for i in range(600)]
+    frame = spark.createDataFrame(out, "id long, a double, b double, y double, of int")
+    setting = Boosting(rounds=3, depth=3, rate=0.4, row_share=0.8, column_share=1.0, l1=0.0, l2=0.1, bins=16, min_gain=0.0)
+    models = [Model(s, 0.0, 1.0) for s in (setting, Boosting(**{**setting.__dict__, "rounds": 1, "depth": 1}), setting)]
+    trees = grow(frame, ["id"], ["a", "b"], "y", models, F.lit(0)).trees
+    walked = T.score(frame, trees, ["a", "b"], F.col("of"), 3, "p")
+    assert "lambda" not in walked._jdf.queryExecution().toString().lower()
+    monkeypatch.setattr(T, "WALKED", 1)
+    joined = T.score(frame, trees, ["a", "b"], F.col("of"), 3, "p")
+    a, b = ({r["id"]: r["p"] for r in x.select("id", "p").collect()} for x in (walked, joined))
+    assert a == b and len(set(a.values())) > 3
+    monkeypatch.undo()
+    empty = T.score(frame, trees.limit(0), ["a", "b"], F.col("of"), 3, "p")
+    assert {r["p"] for r in empty.select("p").collect()} == {0.0}
